@@ -49,7 +49,7 @@ def title(c: Column) -> Column:
     cased = F.zip_with(
         chars,
         F.slice(before, 1, F.greatest(F.size(chars), F.lit(1))),
-        lambda ch, prev: F.when(F.upper(prev) == F.lower(prev), F.upper(ch)).otherwise(F.lower(ch)),
+        lambda ch, prev: F.when(F.upper(prev) == F.lower(prev), F.initcap(ch)).otherwise(F.lower(ch)),
     )
     return F.array_join(cased, "")
 

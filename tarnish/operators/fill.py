@@ -123,7 +123,7 @@ def fill_along(
         nearest.append(("after", F.first, F.min_by, rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
 
     # One row per slice and key: the outermost known values, then the nearest ones of other slices.
-    position = F.struct(*order)
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     edges = sliced.groupBy("_slice", *keys).agg(
         F.count("*").alias("_size"),
         *(

@@ -57,7 +57,7 @@ def with_row_ids(df: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class _Counts:
+class TableCounts:
     rows: int
     missing: int
     duplicates: int
@@ -68,14 +68,14 @@ class _Counts:
         return [self.rows, self.columns]
 
 
-def _counts(df: DataFrame) -> _Counts:
+def table_counts(df: DataFrame) -> TableCounts:
     columns = data_columns(df)
     nulls = null_counts(df, columns).collect()
     copies = duplicate_count(df, columns).first()
-    return _Counts(copies["rows"], sum(r["missing"] for r in nulls), copies["duplicates"], len(columns))
+    return TableCounts(copies["rows"], sum(r["missing"] for r in nulls), copies["duplicates"], len(columns))
 
 
-def corruption_summary(perfect: _Counts | TableFacts, dirty: _Counts | TableFacts) -> dict[str, Any]:
+def corruption_summary(perfect: TableCounts | TableFacts, dirty: TableCounts | TableFacts) -> dict[str, Any]:
     cells = dirty.rows * (len(dirty.columns) if isinstance(dirty, TableFacts) else dirty.columns)
     return {
         "missing_values_added": dirty.missing - perfect.missing,
@@ -87,7 +87,7 @@ def corruption_summary(perfect: _Counts | TableFacts, dirty: _Counts | TableFact
 
 
 def recovery_summary(
-    perfect: _Counts | TableFacts, dirty: _Counts | TableFacts, recovered: _Counts | TableFacts
+    perfect: TableCounts | TableFacts, dirty: TableCounts | TableFacts, recovered: TableCounts | TableFacts
 ) -> dict[str, Any]:
     stages = {"perfect": perfect, "dirty": dirty, "recovered": recovered}
     out: dict[str, Any] = {f"{name}_rows": t.rows for name, t in stages.items()}
@@ -125,7 +125,7 @@ def corrupt_dataset(
     recovered = keep(cleaning.recovered, hold, "recovered")
 
     facts = pair_facts(dirty, recovered)
-    clean_counts = _counts(perfect)
+    clean_counts = table_counts(perfect)
     metadata: dict[str, Any] = {
         "corruption_config": config.to_dict(),
         "applied_strategies": list(config.strategies),

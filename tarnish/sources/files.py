@@ -41,16 +41,16 @@ def format_list(formats: str | Iterable[str]) -> list[str]:
 
 def _csv_options(lossless: bool) -> dict[str, Any]:
     # The writer trims values unless told not to, and escapes quotes its own way.
-    return {
+    options: dict[str, Any] = {
         "header": True,
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
         "quote": '"',
         "escape": '"',
         "timestampNTZFormat": _STAMP,
-        "nullValue": NULL_TEXT if lossless else "",
-        "emptyValue": "" if not lossless else '""',
     }
+    # Left alone, an empty text is written as a pair of quotes and read back as such.
+    return options | ({"nullValue": NULL_TEXT} if lossless else {"nullValue": "", "emptyValue": ""})
 
 
 def write_csv(df: DataFrame, path: str, lossless: bool = False, mode: str = "error", by: Sequence[str] = ()) -> str:
