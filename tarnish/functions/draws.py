@@ -15,7 +15,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnish.functions.families import ROW_ID
@@ -49,6 +49,9 @@ class Draws:
         bits = F.shiftrightunsigned(F.xxhash64(F.lit(tag), *self.key), 11)
         return bits.cast("double") / F.lit(float(2**53))
 
+    def staged(self) -> StagedDraws:
+        return StagedDraws(self)
+
     def below(self, rate: float, *tags: object) -> Column:
         """True for a share ``rate`` of the keys: ``uniform(*tags) < rate``."""
         if self.method == "md5":
@@ -69,3 +72,31 @@ class Draws:
         blocks = F.sequence(F.lit(0), F.floor(length / F.lit(32)).cast("int"))
         text = F.array_join(F.transform(blocks, lambda b: self._digest(tags, [b.cast("string")])), "")
         return F.split(text, "")
+
+
+class StagedDraws:
+    """Draws computed once per row as columns of their own, for expressions that read them often.
+
+    Spark computes a repeated subexpression again in each branch of a
+    condition. Expressions made from staged draws refer to columns instead;
+    ``select`` puts the projection that computes them underneath.
+    """
+
+    def __init__(self, draws: Draws) -> None:
+        self._draws = draws
+        self._columns: dict[tuple[object, ...], str] = {}
+
+    @property
+    def key(self) -> Sequence[str]:
+        return self._draws.key
+
+    def uniform(self, *tags: object) -> Column:
+        name = self._columns.setdefault(tags, f"_draw{len(self._columns)}")
+        return F.col(name)
+
+    def choice(self, n: int, *tags: object) -> Column:
+        return F.floor(self.uniform(*tags) * F.lit(float(n))).cast("int")
+
+    def select(self, df: DataFrame, *columns: Column | str) -> DataFrame:
+        drawn = {name: self._draws.uniform(*tags) for tags, name in self._columns.items()}
+        return (df.withColumns(drawn) if drawn else df).select(*columns)

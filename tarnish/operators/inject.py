@@ -320,10 +320,11 @@ def inject_duplicates(
     if COPY in df.columns:
         raise ValueError("the table holds copies already")
     if sampling == "bernoulli":
-        copies = count_below(draws.uniform("duplicate", "copies"), poisson_steps(rate)).cast("int")
+        staged = draws.staged()
+        copies = count_below(staged.uniform("duplicate", "copies"), poisson_steps(rate)).cast("int")
         if where is not None:
             copies = F.when(where, copies).otherwise(F.lit(0))
-        return df.withColumn(COPY, F.explode(F.sequence(F.lit(0), copies)))
+        return staged.select(df, *df.columns, F.explode(F.sequence(F.lit(0), copies)).alias(COPY))
     if sampling != "exact":
         raise ValueError(f"unknown sampling {sampling!r}; use bernoulli or exact")
     if list(draws.key) != [ROW_ID]:

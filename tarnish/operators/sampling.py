@@ -33,10 +33,10 @@ def sample_exact(df: DataFrame, rate: float, draws: Draws) -> DataFrame:
 
 def sample_with_replacement(df: DataFrame, rate: float, draws: Draws) -> DataFrame:
     """About ``n * rate`` draws; a row drawn several times comes with ``draw`` 1, 2, ..."""
-    times = count_below(draws.uniform("sample", "copies"), poisson_steps(rate)).cast("int")
-    return df.select("*", times.alias("_times")).filter(F.col("_times") > 0).select(
-        *df.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("draw")
-    )
+    staged = draws.staged()
+    times = count_below(staged.uniform("sample", "copies"), poisson_steps(rate)).cast("int")
+    drawn = staged.select(df, *df.columns, times.alias("_times")).filter(F.col("_times") > 0)
+    return drawn.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("draw"))
 
 
 def shuffle(df: DataFrame, draws: Draws) -> DataFrame:

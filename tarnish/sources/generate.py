@@ -15,7 +15,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnish.functions.draws import Draws
+from tarnish.functions.draws import Draws, StagedDraws
 from tarnish.functions.families import ROW_ID, data_columns
 from tarnish.sources.spec import CategoricalColumn, ColumnSpec, DatetimeColumn, NumericColumn, TableSpec
 
@@ -65,42 +65,42 @@ def binomial_steps(n: int, p: float) -> list[float]:
     return out
 
 
-def _standard_normal(draws: Draws, name: str) -> Column:
+def _standard_normal(draws: StagedDraws, name: str) -> Column:
     radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - draws.uniform(name, "radius")))
     return radius * F.cos(F.lit(2 * math.pi) * draws.uniform(name, "angle"))
 
 
-def _rounded_normal(draws: Draws, name: str, mean: float, variance: float) -> Column:
+def _rounded_normal(draws: StagedDraws, name: str, mean: float, variance: float) -> Column:
     return F.greatest(F.lit(0.0), F.rint(F.lit(mean) + F.lit(math.sqrt(variance)) * _standard_normal(draws, name)))
 
 
-def _normal(c: NumericColumn, draws: Draws) -> Column:
+def _normal(c: NumericColumn, draws: StagedDraws) -> Column:
     mean = 0.0 if c.mean is None else float(c.mean)
     std = 1.0 if c.std is None else float(c.std)
     return F.lit(mean) + F.lit(std) * _standard_normal(draws, c.name)
 
 
-def _uniform(c: NumericColumn, draws: Draws) -> Column:
+def _uniform(c: NumericColumn, draws: StagedDraws) -> Column:
     low = 0.0 if c.min_value is None else float(c.min_value)
     high = 1.0 if c.max_value is None else float(c.max_value)
     return F.lit(low) + F.lit(high - low) * draws.uniform(c.name, "value")
 
 
-def _exponential(c: NumericColumn, draws: Draws) -> Column:
+def _exponential(c: NumericColumn, draws: StagedDraws) -> Column:
     """Scale ``mean``, moved up by the minimum (so the mean is minimum + scale)."""
     scale = 1.0 if c.mean is None else float(c.mean)
     shift = 0.0 if c.min_value is None else float(c.min_value)
     return F.lit(shift) - F.lit(scale) * F.log(F.lit(1.0) - draws.uniform(c.name, "value"))
 
 
-def _poisson(c: NumericColumn, draws: Draws) -> Column:
+def _poisson(c: NumericColumn, draws: StagedDraws) -> Column:
     rate = 5.0 if c.mean is None else float(c.mean)
     if rate >= LARGE_VARIANCE:
         return _rounded_normal(draws, c.name, rate, rate)
     return count_below(draws.uniform(c.name, "value"), poisson_steps(rate))
 
 
-def _binomial(c: NumericColumn, draws: Draws) -> Column:
+def _binomial(c: NumericColumn, draws: StagedDraws) -> Column:
     n = 10 if c.max_value is None else int(c.max_value)
     p = 0.5 if c.mean is None else min(max(c.mean / n, 0.0), 1.0)
     if n * p * (1 - p) >= LARGE_VARIANCE:
@@ -130,7 +130,7 @@ def _within_limits(c: NumericColumn, x: Column) -> Column:
     return x
 
 
-def numeric_expression(c: NumericColumn, draws: Draws) -> Column:
+def numeric_expression(c: NumericColumn, draws: StagedDraws) -> Column:
     if c.unique:
         if len(draws.key) != 1:
             raise ValueError(f"{c.name}: a unique column needs a single integer row key")
@@ -146,7 +146,7 @@ def _stamp(at: datetime) -> Column:
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _weekday_date(c: DatetimeColumn, draws: Draws) -> Column:
+def _weekday_date(c: DatetimeColumn, draws: StagedDraws) -> Column:
     """A Monday-to-Friday date of the range, drawn by its number.
 
     Counting from the Monday on or before the start, working day ``k`` lies
@@ -165,7 +165,7 @@ def _weekday_date(c: DatetimeColumn, draws: Draws) -> Column:
     return F.date_add(F.lit(monday.date()), F.floor(k / F.lit(5)).cast("int") * F.lit(7) + k % F.lit(5))
 
 
-def datetime_expression(c: DatetimeColumn, draws: Draws) -> Column:
+def datetime_expression(c: DatetimeColumn, draws: StagedDraws) -> Column:
     """Uniform over [start, end); date only unless ``include_time``."""
     if c.weekdays_only:
         micros = F.floor(draws.uniform(c.name, "value") * F.lit(float(_SECONDS_PER_DAY * 10**6)))
@@ -185,7 +185,7 @@ def datetime_expression(c: DatetimeColumn, draws: Draws) -> Column:
     return at
 
 
-def categorical_expression(c: CategoricalColumn, draws: Draws) -> Column:
+def categorical_expression(c: CategoricalColumn, draws: StagedDraws) -> Column:
     bounds, total = [], 0.0
     for weight in c.weights[:-1]:
         total += weight
@@ -196,7 +196,7 @@ def categorical_expression(c: CategoricalColumn, draws: Draws) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in c.values)), count_below(u, bounds).cast("int") + 1)
 
 
-def column_expression(c: ColumnSpec, draws: Draws) -> Column:
+def column_expression(c: ColumnSpec, draws: StagedDraws) -> Column:
     if isinstance(c, NumericColumn):
         return numeric_expression(c, draws)
     if isinstance(c, DatetimeColumn):
@@ -207,7 +207,9 @@ def column_expression(c: ColumnSpec, draws: Draws) -> Column:
 def generate_columns(df: DataFrame, spec: TableSpec, draws: Draws, keep: Sequence[str] | None = None) -> DataFrame:
     """The spec's columns for every row of ``df``, after its ``keep`` columns (default: the key)."""
     kept = list(draws.key if keep is None else keep)
-    return df.select(*kept, *(column_expression(c, draws).alias(c.name) for c in spec.columns))
+    staged = draws.staged()
+    made = [column_expression(c, staged).alias(c.name) for c in spec.columns]
+    return staged.select(df, *kept, *made)
 
 
 def generate_table(
