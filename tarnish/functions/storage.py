@@ -72,6 +72,16 @@ def through_table(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer parts than there are cores.
+
+    A small file is one task however much work follows; large tables come in
+    many parts already and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def keep(df: DataFrame, how: str, name: str = "stage") -> DataFrame:
     """Prepare ``df`` for several reads.
 

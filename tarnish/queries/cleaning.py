@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarnish.functions.families import ROW_ID
+from tarnish.functions.storage import keep, spread
 from tarnish.operators import inject
 from tarnish.operators.clean import (
     CleanText,
@@ -448,13 +449,14 @@ RECOVERY_CLEAN = (
 
 
 def recovery_dirty(spark, d):
-    orders = table(spark, d, "orders").withColumnRenamed("o_orderkey", ROW_ID)
+    orders = spread(table(spark, d, "orders")).withColumnRenamed("o_orderkey", ROW_ID)
     config = InjectionConfig.custom(_STRATEGIES, decimals={"o_totalprice": 2})
     return inject_all(orders, config, draws(ROW_ID))
 
 
-def recovered_orders(spark, d, dirty=None):
-    dirty = recovery_dirty(spark, d) if dirty is None else dirty
+def recovered_orders(spark, d):
+    # Every fit reads the dirty table: damage it once.
+    dirty = keep(recovery_dirty(spark, d), "table", "dirty")
     return run_cleaning(dirty, cleaning_plan(_STRATEGIES)).recovered
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnish.functions.families import ROW_ID
-from tarnish.functions.storage import small_table
+from tarnish.functions.storage import keep, small_table, spread
 from tarnish.operators import inject, stats
 from tarnish.operators.clean import CleanText, Impute
 from tarnish.operators.compare import similarity
@@ -44,8 +44,10 @@ PAIR = (
 
 def pair(spark, d):
     """customer with missing cells and copies, and the same table recovered."""
-    perfect = table(spark, d, "customer").withColumnRenamed("c_custkey", ROW_ID)
+    perfect = spread(table(spark, d, "customer")).withColumnRenamed("c_custkey", ROW_ID)
     dirty = inject_all(perfect, InjectionConfig.custom(STRATEGIES), draws(ROW_ID))
+    # Fits and reports read the dirty table many times: damage it once.
+    dirty = keep(dirty, "table", "dirty")
     cleaning = run_cleaning(dirty, cleaning_plan(STRATEGIES))
     return perfect, dirty, cleaning.recovered, cleaning.log
 
@@ -440,11 +442,12 @@ BATCH_SQL = (
 
 
 def batch_pair(spark, d) -> tuple[DataFrame, DataFrame]:
-    orders = table(spark, d, "orders").withColumnRenamed("o_orderkey", ROW_ID)
+    orders = spread(table(spark, d, "orders")).withColumnRenamed("o_orderkey", ROW_ID)
     injections = {p: InjectionConfig.custom(s) for p, s in BATCH.items()}
     dirty = corrupt_batch(
         orders, injections, draws(ROW_ID), by="o_orderpriority", decimals={"o_totalprice": 2}
     )
+    dirty = keep(dirty, "table", "dirty")
     return dirty, clean_batch(dirty, injections, by="o_orderpriority")
 
 
