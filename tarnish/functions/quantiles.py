@@ -21,7 +21,7 @@ from tarnish.functions.storage import small_table
 
 BINS = 1024
 #: Rows a range may hold to be sorted in one group.
-GATHER_ROWS = 8192
+GATHER_ROWS = 65_536
 #: Order statistics per call; each is a row of a broadcast table.
 MAX_TARGETS = 100_000
 

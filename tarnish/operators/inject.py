@@ -100,11 +100,12 @@ def _hit_cells(
     }
 
 
-def _pick(choice: Column, options: Sequence[Column]) -> Column:
-    """``options[choice]``, evaluating that option only."""
+def _pick(draws: Draws, tags: Sequence[str], options: Sequence[Column]) -> Column:
+    """One of the options, each as likely, evaluating that option only."""
+    n = len(options)
     out = options[-1]
-    for i in range(len(options) - 2, -1, -1):
-        out = F.when(choice == F.lit(i), options[i]).otherwise(out)
+    for i in range(n - 2, -1, -1):
+        out = F.when(draws.below((i + 1) / n, *tags), options[i]).otherwise(out)
     return out
 
 
@@ -125,7 +126,7 @@ def inject_missing(
     for c in numbers:
         as_type = type_of(df, c)
         options = [F.lit(None).cast(as_type), *(F.lit(s).try_cast(as_type) for s in SENTINELS)]
-        changed[c] = F.when(hit[c], _pick(draws.choice(4, c, "missing", "kind"), options)).otherwise(F.col(c))
+        changed[c] = F.when(hit[c], _pick(draws, (c, "missing", "kind"), options)).otherwise(F.col(c))
     for c in texts:
         emptied = F.when(draws.choice(3, c, "missing", "kind") == F.lit(1), F.lit(""))
         changed[c] = F.when(hit[c], emptied).otherwise(F.col(c))
@@ -152,7 +153,7 @@ def inject_whitespace(
     def damage(name: str, c: Column) -> Column:
         gap = F.lit("  ")
         options = [F.concat(gap, c), F.concat(c, gap), F.concat(gap, c, gap), F.replace(c, F.lit(" "), gap)]
-        return _pick(draws.choice(4, name, "whitespace", "kind"), options)
+        return _pick(draws, (name, "whitespace", "kind"), options)
 
     return _inject_text(df, draws, "whitespace", rate, columns, exclude, sampling, where, damage)
 
@@ -170,7 +171,7 @@ def inject_case(
 
     def damage(name: str, c: Column) -> Column:
         mixed = text.mixed_case(c, draws.coins(F.char_length(c), name, "case", "coins"))
-        return _pick(draws.choice(4, name, "case", "kind"), [F.upper(c), F.lower(c), text.title(c), mixed])
+        return _pick(draws, (name, "case", "kind"), [F.upper(c), F.lower(c), text.title(c), mixed])
 
     return _inject_text(df, draws, "case", rate, columns, exclude, sampling, where, damage)
 
@@ -191,7 +192,7 @@ def inject_special_characters(
         symbol = F.element_at(symbols, draws.choice(len(text.SPECIAL_CHARACTERS), name, "special", "symbol") + 1)
         three, two = F.repeat(symbol, F.lit(3)), F.repeat(symbol, F.lit(2))
         options = [F.concat(three, c), F.concat(c, three), F.concat(two, c, two)]
-        return _pick(draws.choice(3, name, "special", "kind"), options)
+        return _pick(draws, (name, "special", "kind"), options)
 
     return _inject_text(df, draws, "special", rate, columns, exclude, sampling, where, damage)
 

@@ -40,16 +40,16 @@ def zscore_bounds(df: DataFrame, columns: Sequence[str], threshold: float = 3.0)
     }
 
 
-def is_outlier(column: str, low: float, high: float) -> Column:
-    """True outside the bounds; NULL is no outlier (a bare NOT would drop its row)."""
+def is_inside(column: str, low: float, high: float) -> Column:
+    """True within the bounds and for NULL, in a form Parquet scans can use to skip data."""
     c = F.col(column)
-    return F.coalesce((c < F.lit(low)) | (c > F.lit(high)), F.lit(False))
+    return c.isNull() | ((c >= F.lit(low)) & (c <= F.lit(high)))
 
 
 def within_bounds(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
     if not bounds:
         return df
-    return df.filter(~reduce(Column.__or__, (is_outlier(c, *b) for c, b in bounds.items())))
+    return df.filter(reduce(Column.__and__, (is_inside(c, *b) for c, b in bounds.items())))
 
 
 def fit_bounds(

@@ -89,24 +89,32 @@ def normalise_missing(df: DataFrame) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None, lossless: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    lossless: bool = False,
+    nan_is_missing: bool = True,
 ) -> DataFrame:
     """A table written by this module, or any table in these formats.
 
-    CSV and JSON need a schema: inferring one would read the data twice.
+    CSV and JSON need a schema: inferring one would read the data twice. NaN is
+    read as NULL; for tables known to hold none, ``nan_is_missing=False`` lets
+    filters on float columns reach the scan.
     """
+    finish = normalise_missing if nan_is_missing else lambda df: df
     if fmt == "parquet":
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        return normalise_missing(reader.parquet(path))
+        return finish(reader.parquet(path))
     if schema is None:
         raise ValueError(f"reading {fmt} needs a schema")
     if fmt == "csv":
         # Texts may hold line breaks; part files keep their size in check.
         options = {**_csv_options(lossless), "multiLine": True}
-        return normalise_missing(spark.read.schema(schema).options(**options).csv(path))
+        return finish(spark.read.schema(schema).options(**options).csv(path))
     if fmt == "json":
         options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
-        return normalise_missing(spark.read.schema(schema).options(**options).json(path))
+        return finish(spark.read.schema(schema).options(**options).json(path))
     raise ValueError(f"unknown format {fmt!r}; use {', '.join(FORMATS)}")
 
 
