@@ -50,6 +50,8 @@ DEFAULT_RATES = {
     "outlier_severity": 2.5,
     "type_corruption_rate": 0.30,
 }
+# The largest outlier rate, and how far beyond the bounds values go
+# (in interquartile ranges, times 0.5 .. 1.5).
 MAX_OUTLIER_RATE = 0.05
 OUTLIER_MARGIN = 1.2
 

@@ -86,7 +86,7 @@ def clean_text_remove_numbers(spark, d):
     ),
 )
 def clean_text_documents(spark, d):
-    return _apply(table(spark, d, "documents"), CleanText(("strip", "lower", "remove_special")))
+    return _apply(spread(table(spark, d, "documents")), CleanText(("strip", "lower", "remove_special")))
 
 
 @query("clean_text_upper", sql.replaced("part", PART, {c: f"upper({c})" for c in ("p_name", "p_brand", "p_type")}))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarnish.functions.families import ROW_ID
-from tarnish.functions.storage import small_table
+from tarnish.functions.storage import small_table, spread
 from tarnish.operators import inject
 from tarnish.operators.compare import audit_counts, cell_audit
 from tarnish.plans.dataset import corruption_summary, table_counts
@@ -31,7 +31,7 @@ CONVERSATION_KEY = "conv_id,turn"
     ),
 )
 def inject_missing_number(spark, d):
-    orders = table(spark, d, "orders")
+    orders = spread(table(spark, d, "orders"))
     return inject.inject_missing(orders, draws("o_orderkey"), columns=["o_totalprice", "o_custkey"])
 
 
@@ -87,7 +87,7 @@ DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
     sql.replaced("documents", DOCUMENTS, {c: sql.case(c, "doc_id") for c in ("text", "lang", "source")}),
 )
 def inject_case_long_text(spark, d):
-    return inject.inject_case(table(spark, d, "documents"), draws("doc_id"))
+    return inject.inject_case(spread(table(spark, d, "documents")), draws("doc_id"))
 
 
 @query(

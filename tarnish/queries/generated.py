@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tarnish.functions.storage import spread
 from tarnish.queries import sql
 from tarnish.queries.registry import draws, query, table
 from tarnish.sources.builtin import ecommerce_spec, finance_spec, healthcare_spec
@@ -60,7 +61,7 @@ def _register(name, columns):
 
     @query(name, sql.generated(spec, "o_orderkey", "orders"))
     def generated(spark, d):
-        return generate_columns(table(spark, d, "orders"), spec, draws("o_orderkey"))
+        return generate_columns(spread(table(spark, d, "orders")), spec, draws("o_orderkey"))
 
 
 for _name, _columns in SPECS.items():
