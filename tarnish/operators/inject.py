@@ -6,7 +6,9 @@ injector looks at the data first, for its bounds.
 
 ``sampling="bernoulli"`` hits each cell with the given probability in the same
 pass. ``sampling="exact"`` hits exactly ``int(n * rate)`` cells per column: it
-first searches the draw that cuts off that many, still without a sort.
+first searches the draw that cuts off that many, still without a sort (rows that
+share the very draw at the cut would all be hit; with 52-bit draws that takes a
+hash collision exactly there).
 """
 
 from __future__ import annotations

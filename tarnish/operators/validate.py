@@ -177,12 +177,17 @@ def _check_nulls(dirty: TableFacts, recovered: TableFacts) -> Iterable[Finding]:
             yield Finding("null_repair", c, WARNING, n, f"column {c!r}: all {n} missing values were filled")
 
 
-def pair_facts(dirty: DataFrame, recovered: DataFrame) -> tuple[TableFacts, TableFacts]:
-    """Facts of both tables, with number statistics for columns that are numeric after recovery."""
+def pair_facts(dirty: DataFrame, recovered: DataFrame, unique: str = "exact") -> tuple[TableFacts, TableFacts]:
+    """Facts of both tables, with number statistics for columns that are numeric after recovery.
+
+    Exact distinct counts shuffle every value of every column; for wide tables
+    or long texts ``unique="approximate"`` counts with sketches instead.
+    """
     numbers = numeric_columns(recovered)
     texts = [c for c in columns_in(dirty, TEXT) if c not in numbers]
     either = list(dict.fromkeys([*numeric_columns(dirty), *numbers]))
-    return table_facts(dirty, either, columns_in(dirty, TEXT)), table_facts(recovered, numbers, texts)
+    before = table_facts(dirty, either, columns_in(dirty, TEXT), unique)
+    return before, table_facts(recovered, numbers, texts, unique)
 
 
 def validate_pair(

@@ -108,13 +108,15 @@ def corrupt_dataset(
     compatible: bool = False,
     audit: bool = False,
     hold: str = "persist",
+    unique: str = "exact",
 ) -> DatasetTriple:
     """Inject errors into a table, clean it again, and describe both steps.
 
     ``key`` names the columns that identify a row; they are left undamaged.
     ``hold`` says how the dirty and the recovered table are kept, as both are
     read many times: ``persist`` for data that fits the cluster's memory and
-    disks, ``table`` to write them to the shared folder.
+    disks, ``table`` to write them to the shared folder. ``unique`` says how
+    distinct values are counted for the report: ``exact`` or ``approximate``.
     """
     config = config or InjectionConfig.from_difficulty("medium", seed)
     draws = Draws(config.seed if seed is None else seed, tuple(key), method)
@@ -124,7 +126,7 @@ def corrupt_dataset(
     cleaning = run_cleaning(dirty, plan)
     recovered = keep(cleaning.recovered, hold, "recovered")
 
-    facts = pair_facts(dirty, recovered)
+    facts = pair_facts(dirty, recovered, unique)
     clean_counts = table_counts(perfect)
     metadata: dict[str, Any] = {
         "corruption_config": config.to_dict(),

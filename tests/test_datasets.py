@@ -75,7 +75,7 @@ def test_a_users_own_table_and_key(spark):
         F.col("id").alias("k"), (F.col("id") % 50).cast("double").alias("v"), F.lit("some text").alias("t")
     )
     config = InjectionConfig.custom(["missing_values", "duplicates"], 3, {"missing_rate": 0.3})
-    triple = corrupt_dataset(df, config, key=["k"])
+    triple = corrupt_dataset(df, config, key=["k"], hold="table", unique="approximate")
     keys = triple.dirty.filter(F.col(COPY) == 0).select("k")
     assert keys.distinct().count() == 300 and keys.filter("k is null").count() == 0
     assert triple.metadata["corruption_summary"]["missing_values_added"] > 0
