@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,14 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 20
 
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; Python workers find this package where the driver found it, if it isn't installed."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _ROOT not in path.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{path}:{_ROOT}".lstrip(":")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
