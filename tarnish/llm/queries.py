@@ -49,10 +49,14 @@ def _listed(spans: Column) -> Column:
     return F.array_join(spelled, ",")
 
 
+def _of_kind(spans: Column, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 @query
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    counts = [F.size(_of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     base = F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS))
     return scan_secrets(load(spark, sf_dir, "documents")).select(
         "doc_id", *counts, F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(spans).alias("spans")
