@@ -40,7 +40,7 @@ SIMILARITY = 0.8
 RADIUS = 20
 #: Bytes of benchmark text that go to the tasks at once.
 BLOCK_BYTES = 8 << 20
-CACHE_WORDS = 700_000
+CACHE_WORDS = 350_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 20
 
@@ -97,6 +97,7 @@ class _Size:
     prints: np.ndarray
     counts: list[tuple[np.ndarray, np.ndarray]]
     total: int
+    known: np.ndarray
     blocks: list[tuple[int, int, np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def index(self, radius: int) -> None:
@@ -136,7 +137,7 @@ class Benchmark:
         for n, rows in sorted(by_size.items()):
             prints = np.concatenate([_packed(_votes(s).sum(axis=0, keepdims=True)) for _, s in rows])
             counts = [np.unique(s, return_counts=True) for _, s in rows]
-            size = _Size(n, min(k, n), [i for i, _ in rows], prints, counts, len(rows[0][1]))
+            size = _Size(n, min(k, n), [i for i, _ in rows], prints, counts, len(rows[0][1]), np.unique(np.concatenate([c for c, _ in counts])))
             size.index(radius)
             self.sizes.append(size)
         self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -161,14 +162,20 @@ class Benchmark:
         for size in self.sizes:
             if size.k not in made:
                 own = shingles(words, size.k)
-                hit = self._hits(own, size.k)
-                made[size.k] = own, np.r_[0, np.cumsum(hit)] if hit.any() else None
-            own, hits = made[size.k]
-            if hits is None:
-                continue
+                made[size.k] = own, np.flatnonzero(self._hits(own, size.k))
+            own, at = made[size.k]
             # Shingles of a window, fewer if the document is shorter than the item.
             m = min(size.total, len(own))
             least = self.similarity / (1 + self.similarity) * (m + size.total) - 1e-9
+            if len(at) < least or not len(at):
+                continue
+            # Only shingles of items of this length count for it.
+            at = at[size.known[np.minimum(np.searchsorted(size.known, own[at]), len(size.known) - 1)] == own[at]]
+            if len(at) < least or not len(at):
+                continue
+            hits = np.zeros(len(own) + 1, np.int32)
+            hits[at + 1] = 1
+            hits = np.cumsum(hits)
             starts = np.flatnonzero(hits[m:] - hits[:-m] >= least)
             for part in range(0, len(starts), 8192):
                 self._look(own, starts[part : part + 8192], m, size, best)
