@@ -21,6 +21,7 @@ itself, so repeated rows and null ids get scores too.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ from tarnish.llm.common import binaries, chunks, id_and_text, remainder
 
 BUCKET_BITS = 17
 NGRAMS = (3, 4, 5)
-MAX_DOCS = 3000
+MAX_DOCS = 2400
 FOLDS, HELD_OUT = 3, 1
 
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -116,15 +117,15 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 12, epochs:
     table = draw.uniform(-1, 1, (size, dim)).astype(np.float32) / dim
     output = np.zeros((2, dim), np.float32)
     bias = np.array([0, prior], np.float32)
-    docs = [(f, (c / c.sum()).astype(np.float32)) for f, c, _ in rows]
-    step, steps = 0, epochs * len(docs)
+    step, steps = 0, epochs * len(rows)
     for _ in range(epochs):
-        for i in draw.permutation(len(docs)):
-            feature, share_of = docs[i]
+        for i in draw.permutation(len(rows)):
+            feature, counts, _ = rows[i]
             now = rate * (1 - step / steps)
             step += 1
             if not len(feature):
                 continue
+            share_of = (counts / counts.sum()).astype(np.float32)
             mean = share_of @ table[feature]
             logits = output @ mean + bias
             odds = np.exp(logits - logits.max())
@@ -153,15 +154,18 @@ def sample_rows(docs: DataFrame, labels: DataFrame, max_docs: int, id_col: str,
             found = [np.unique(features([t])[0], return_counts=True) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    binaries([f.astype(np.int32).tobytes() for f, _ in found]),
-                    binaries([c.astype(np.int32).tobytes() for _, c in found]),
+                    binaries([zlib.compress(np.diff(f, prepend=0).astype(np.int32).tobytes(), 1) for f, _ in found]),
+                    binaries([zlib.compress(c.astype(np.int32).tobytes(), 1) for _, c in found]),
                     batch.column(1).cast(pa.int64()),
                 ],
                 names=["features", "counts", "label"],
             )
 
-    got = wanted.mapInArrow(run, "features binary, counts binary, label long").collect()
-    rows = [(np.frombuffer(f, np.int32), np.frombuffer(c, np.int32), label) for f, c, label in got]
+    got = wanted.mapInArrow(run, "features binary, counts binary, label long").toLocalIterator()
+    rows = []
+    for f, c, label in got:
+        steps, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in (f, c))
+        rows.append((np.cumsum(steps, dtype=np.int32), counts.astype(np.float32), label))
     # In an order of their own, so that the model does not depend on the partitions.
     return sorted(rows, key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2]))
 
