@@ -21,7 +21,7 @@ from tarnish.llm.common import ranges
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words a task remembers; beyond that it forgets all and starts again. Changes no result.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 400_000
 
 # Letters of one script, composed, whose lower case is one letter; then marks that never join a letter.
 _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,!?;:#*$%&|<>@()\"-]*)")
