@@ -11,7 +11,7 @@ from tarnish.operators.clean import (
     RemoveOutliers,
 )
 from tarnish.operators.validate import validate_pair, validate_solvability
-from tarnish.plans.batch import generate_batch, generate_training_set
+from tarnish.plans.batch import generate_batch, generate_batches, generate_training_set
 from tarnish.plans.cleaning import cleaning_plan, run_cleaning, transform_all
 from tarnish.plans.dataset import corrupt_dataset, generate_dataset, generate_datasets, with_row_ids
 from tarnish.plans.injection import InjectionConfig, inject, register_strategy

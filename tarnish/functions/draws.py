@@ -25,7 +25,8 @@ METHODS = ("xxhash64", "md5")
 
 @dataclass(frozen=True)
 class Draws:
-    seed: int = 42
+    #: A number, or a column that gives each row's.
+    seed: int | Column = 42
     key: Sequence[str] = (ROW_ID,)
     method: str = "xxhash64"
 
@@ -36,24 +37,29 @@ class Draws:
             raise ValueError("draws need at least one key column")
 
     def _digest(self, tags: Sequence[object], extra: Sequence[Column] = ()) -> Column:
-        parts = [F.lit(str(self.seed)), *(F.lit(str(t)) for t in tags)]
+        parts = [self._seed_text(), *(F.lit(str(t)) for t in tags)]
         keys = [F.col(k).cast("string") for k in self.key]
         return F.md5(F.concat_ws(":", *parts, *keys, *extra))
 
+    def _seed_text(self) -> Column:
+        return self.seed.cast("string") if isinstance(self.seed, Column) else F.lit(str(self.seed))
+
     def uniform(self, *tags: object) -> Column:
         """A double in [0, 1)."""
         if self.method == "md5":
             digits = F.substring(self._digest(tags), 1, 13)
             return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
-        tag = ":".join(str(t) for t in (self.seed, *tags))
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(tag), *self.key), 11)
+        tag = F.concat_ws(":", self._seed_text(), *(F.lit(str(t)) for t in tags))
+        bits = F.shiftrightunsigned(F.xxhash64(tag, *self.key), 11)
         return bits.cast("double") / F.lit(float(2**53))
 
     def staged(self) -> StagedDraws:
         return StagedDraws(self)
 
-    def below(self, rate: float, *tags: object) -> Column:
+    def below(self, rate: float | Column, *tags: object) -> Column:
         """True for a share ``rate`` of the keys: ``uniform(*tags) < rate``."""
+        if isinstance(rate, Column):
+            return self.uniform(*tags) < rate
         if self.method == "md5":
             # Hex digits sort like the number they spell, so no conversion is needed.
             limit = math.ceil(rate * 2**52)

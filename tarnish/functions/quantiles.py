@@ -1,182 +1,260 @@
 """Exact order statistics without gathering the values.
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one
-reducer. Here each wanted rank is searched by refinement instead: split the
-value range that holds it into bins, count per bin (combined before the
-shuffle, so a task sends at most one row per bin), keep the one bin that holds
-the rank, and split again. A pass reads the wanted columns only and narrows the
-range about a thousandfold; once the range is known to hold few enough rows
-they are sorted and the rank is read off.
+reducer. Here each wanted rank is enclosed between two values of a quantile
+sketch, what lies at and below the two is counted, and the search goes on
+strictly between them: a pass keeps about a hundredth of the rows, and always
+drops the two values themselves, so ties and infinities end it sooner. Once few enough rows
+lie between, they are sorted in the pass that counts them. All columns share
+the passes; a table of some million rows takes two.
+
+With groups the places are columns of a table with one row for each group, joined
+back for the next pass, so there may be as many groups as rows, and one may hold
+most of them: all aggregates combine before the shuffle.
+
+Values are compared as doubles: integers beyond 2^53 and long decimals are rounded first.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnish.functions.storage import small_table
+from tarnish.functions.storage import through_table
 
-BINS = 1024
-#: Rows a range may hold to be sorted in one group.
+#: Values of a sketch that a pass chooses from, and its accuracy.
+GRID = 128
+ACCURACY = 4096
+#: Rows between two values from which on they are sorted at once. Changes no result.
 GATHER_ROWS = 65_536
-#: Order statistics per call; each is a row of a broadcast table.
-MAX_TARGETS = 100_000
 
 Group = tuple
 
 
-def _ranks(count: int, probabilities: Sequence[float]) -> list[tuple[int, int, float]]:
+def _rank_columns(n: Column, probabilities: Sequence[float]) -> list[tuple[Column, Column]]:
+    """The lower rank and the share of the way to the next one, for each probability."""
     out = []
     for p in probabilities:
-        position = p * (count - 1)
-        low = math.floor(position)
-        out.append((low, min(low + 1, count - 1), position - low))
+        position = F.lit(float(p)) * (n - F.lit(1)).cast("double")
+        out.append((F.floor(position).cast("long"), position - F.floor(position)))
     return out
 
 
-def _interpolate(low: float, high: float, share: float) -> float:
-    return low if share == 0 else low + (high - low) * share
-
-
-def _extent(df: DataFrame, values: Mapping[str, Column], by: Sequence[str]):
-    names = list(values)
-    aggregates = []
-    for i, name in enumerate(names):
-        v = values[name]
-        aggregates += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-    rows = (df.groupBy(*by) if by else df).agg(*aggregates).limit(MAX_TARGETS + 1).collect()
-    if len(rows) > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} groups; quantiles per group go to the driver")
-    out = {}
-    for row in rows:
-        group = tuple(row[b] for b in by)
-        for i, name in enumerate(names):
-            out[group, name] = (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"])
-    return out
+def _grid(value: Column) -> Column:
+    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY)
 
 
 class _Search:
-    """Open targets of one search: ``(group, name, rank) -> (low, high, skipped, size)``."""
-
-    def __init__(self, df: DataFrame, values: Mapping[str, Column], by: Sequence[str]) -> None:
-        self.df, self.values, self.by = df, values, by
-
-    def ranges(self, targets: dict) -> tuple[DataFrame, DataFrame]:
-        """Cells inside the targets' ranges, and the ranks wanted per range."""
-        ranges = sorted({(*g, name, *place[:3]) for (g, name, _), place in targets.items()}, key=repr)
-        number = {r: i for i, r in enumerate(ranges)}
-        names = sorted({name for _, name, _ in targets})
-        spark = self.df.sparkSession
-        key_ddl = "".join(
-            f"_by{i} {self.df.schema[b].dataType.simpleString()}, " for i, b in enumerate(self.by)
-        )
-        range_rows = small_table(
-            spark,
-            [(*r[:-1], number[r]) for r in ranges],
-            f"{key_ddl}_name string, _low double, _high double, _range int",
-        )
-        target_rows = small_table(
-            spark,
-            [
-                (number[(*g, name, *place[:3])], rank - place[2], i)
-                for i, ((g, name, rank), place) in enumerate(targets.items())
-            ],
-            "_range int, _rank bigint, _target int",
-        )
-        same_cell = F.col("_column") == F.col("_name")
-        for i, b in enumerate(self.by):
-            same_cell = same_cell & F.col(b).eqNullSafe(F.col(f"_by{i}"))
-        cells = (
-            self.df.select(*self.by, *(self.values[n].alias(n) for n in names))
-            .unpivot(list(self.by), names, "_column", "_value")
-            .join(F.broadcast(range_rows), same_cell)
-            .filter(F.col("_value").between(F.col("_low"), F.col("_high")))
-        )
-        return cells, F.broadcast(target_rows)
-
-    def refine(self, targets: dict) -> dict:
-        """One histogram pass: the range of each target, narrowed to one bin."""
-        cells, wanted = self.ranges(targets)
-        # Halves keep high - low finite for any pair of doubles.
-        low, high = F.col("_low") / 2, F.col("_high") / 2
-        place = (F.col("_value") / 2 - low) / (high - low)
-        running = Window.partitionBy("_range").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-        hits = (
-            cells.withColumn("_bin", F.least(F.floor(place * F.lit(BINS)).cast("int"), F.lit(BINS - 1)))
-            .groupBy("_range", "_bin")
-            .agg(F.count("*").alias("_n"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
-            # At most BINS rows per range from here on.
-            .withColumn("_below", F.sum("_n").over(running) - F.col("_n"))
-            .join(wanted, "_range")
-            .filter((F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_n")))
-            .select("_target", "_below", "_lo", "_hi", "_n")
-            .collect()
-        )
-        keys = list(targets)
-        narrowed = {}
-        for hit in hits:
-            key = keys[hit["_target"]]
-            low_before, high_before, skipped, _ = targets[key]
-            if (hit["_lo"], hit["_hi"]) == (low_before, high_before):
-                raise ArithmeticError(f"cannot split the range [{low_before}, {high_before}] of {key[1]!r}")
-            narrowed[key] = (hit["_lo"], hit["_hi"], skipped + hit["_below"], hit["_n"])
-        return narrowed
-
-    def gather(self, targets: dict) -> dict:
-        """Sort the few rows left in each range and read the ranks off."""
-        cells, wanted = self.ranges(targets)
-        hits = (
-            cells.groupBy("_range")
-            .agg(F.sort_array(F.collect_list("_value")).alias("_values"))
-            .join(wanted, "_range")
-            .select("_target", F.element_at("_values", (F.col("_rank") + 1).cast("int")).alias("_found"))
-            .collect()
-        )
-        keys = list(targets)
-        return {keys[hit["_target"]]: hit["_found"] for hit in hits}
+    """The ranks of one call: a row for each group, with five columns for each rank.
+
+    ``r`` the rank, ``lo`` and ``hi`` the values it lies between, ``found`` the value once it is
+    known, ``in`` how many rows lie between at most.
+    """
+
+    def __init__(self, df: DataFrame, values: Mapping[str, Column], by: Sequence[str], gather_rows: int) -> None:
+        self.by, self.gather_rows = list(by), gather_rows
+        self.keys = [f"_by{i}" for i in range(len(by))]
+        named = [F.col(b).alias(k) for b, k in zip(by, self.keys, strict=True)]
+        self.values = [f"_v{i}" for i in range(len(values))]
+        self.df = df.select(*named, *(v.alias(n) for v, n in zip(values.values(), self.values, strict=True)))
+
+    def _grouped(self, df: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
+        return df.groupBy(*self.keys).agg(*aggregates)
+
+    def start(self, ranks) -> DataFrame:
+        """Extent and sketch of all values; ``ranks(i, n)`` gives the wanted ranks of value ``i``."""
+        aggregates = []
+        for i, v in enumerate(self.values):
+            c = F.col(v)
+            aggregates += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"), _grid(c).alias(f"grid{i}")]
+        extent = self._grouped(self.df, aggregates)
+        columns, self.of = [], []
+        for i in range(len(self.values)):
+            n, low, high = F.col(f"n{i}"), F.col(f"min{i}"), F.col(f"max{i}")
+            for r in ranks(i, n):
+                j = len(self.of)
+                self.of.append(i)
+                ends = F.when(r <= 0, low).when(r >= n - 1, high)
+                lo, hi = self._between(r, n, F.col(f"grid{i}"), low, high)
+                columns += [r.alias(f"r{j}"), lo.alias(f"lo{j}"), hi.alias(f"hi{j}"), ends.alias(f"found{j}"), self._most(n).alias(f"in{j}")]
+        return extent.select(*self.keys, *(f"n{i}" for i in range(len(self.values))), *columns)
+
+    @staticmethod
+    def _between(rank: Column, n: Column, grid: Column, low: Column, high: Column) -> tuple[Column, Column]:
+        """The values of the sketch around a rank, further away than the sketch may err."""
+        slack = F.lit(2.0 * GRID / ACCURACY)
+        place = rank.cast("double") / F.greatest(n, F.lit(1)).cast("double") * F.lit(float(GRID))
+        below = F.floor(place - slack).cast("int") - F.lit(1)
+        above = F.ceil(place + slack + F.lit(float(GRID)) / F.greatest(n, F.lit(1)).cast("double")).cast("int") + F.lit(1)
+        lo = F.when(below >= 0, F.get(grid, below)).otherwise(low)
+        hi = F.when(above <= GRID, F.get(grid, above)).otherwise(high)
+        return F.coalesce(lo, low), F.coalesce(hi, high)
+
+    @staticmethod
+    def _most(n: Column) -> Column:
+        return F.ceil(n.cast("double") * F.lit(6.0 / GRID)).cast("long") + F.lit(8)
+
+    def step(self, state: DataFrame, gather: bool) -> DataFrame:
+        """One pass: counts at the two values, and between them the rows or another sketch."""
+        count = len(self.of)
+        right = state.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)), *(f"{x}{j}" for j in range(count) for x in ("lo", "hi", "found")))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.keys)]
+        rows = self.df.join(right, same)
+        place = {f"{x}{j}": F.col(f"{x}{j}") for j in range(count) for x in ("lo", "hi", "found")}
+        aggregates = []
+        for j, i in enumerate(self.of):
+            v, lo, hi = F.col(self.values[i]), place[f"lo{j}"], place[f"hi{j}"]
+            between = F.when(place[f"found{j}"].isNull() & (v > lo) & (v < hi), v)
+            aggregates += [
+                F.count_if(v < lo).alias(f"below{j}"), F.count_if(v == lo).alias(f"at{j}"),
+                F.count(between).alias(f"now{j}"), F.count_if((v == hi) & (hi > lo)).alias(f"top{j}"),
+                (F.sort_array(F.collect_list(between)) if gather else F.struct(_grid(between).alias("g"), F.min(between).alias("a"), F.max(between).alias("b"))).alias(f"inner{j}"),
+            ]
+        counted = self._grouped(rows, aggregates)
+        left = state.select(*self.keys, *(f"n{i}" for i in range(len(self.values))), *(f"{x}{j}" for j in range(count) for x in ("r", "lo", "hi", "found")))
+        counted = counted.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)), *(c for c in counted.columns if c not in self.keys))
+        joined = left.join(counted, same)
+        columns = []
+        for j in range(count):
+            r, lo, hi, found = (F.col(f"{x}{j}") for x in ("r", "lo", "hi", "found"))
+            below, at, now, top, inner = (F.col(f"{x}{j}") for x in ("below", "at", "now", "top", "inner"))
+            # The rank among the rows strictly between; before them it is the lower value, after them the upper one.
+            own = r - below - at
+            enclosed = (r >= below) & (own < now + top)
+            known = F.when(found.isNotNull(), found).when(enclosed & (own < 0), lo).when(enclosed & (own >= now), hi)
+            n = F.col(f"n{self.of[j]}")
+            if gather:
+                known = F.coalesce(known, F.when(enclosed, F.get(inner, own.cast("int"))))
+                next_lo, next_hi, most = lo, hi, now
+            else:
+                # The least and the greatest row between are the new ends, so each pass drops two values.
+                known = F.coalesce(known, F.when(enclosed & (own == 0), inner["a"]).when(enclosed & (own == now - 1), inner["b"]))
+                next_lo, next_hi = self._between(own, now, inner["g"], inner["a"], inner["b"])
+                next_lo, next_hi, most = F.coalesce(next_lo, lo), F.coalesce(next_hi, hi), self._most(now)
+            # Should a sketch err by more than it promises, the search starts again from the ends.
+            ends = F.lit(float("inf"))
+            columns += [
+                r, F.when(enclosed, next_lo).otherwise(-ends).alias(f"lo{j}"), F.when(enclosed, next_hi).otherwise(ends).alias(f"hi{j}"),
+                known.alias(f"found{j}"), F.when(enclosed, most).otherwise(n).alias(f"in{j}"),
+            ]
+        return joined.select(*self.keys, *(f"n{i}" for i in range(len(self.values))), *columns)
+
+    def run(self, ranks) -> DataFrame:
+        """(keys, n of each value, found of each rank)."""
+        state = through_table(self.start(ranks), "quantiles")
+        while self.of:
+            # One number: the most rows between the two values of a rank that is open.
+            sizes = [F.when(F.col(f"found{j}").isNull() & (F.col(f"n{i}") > 0), F.col(f"in{j}")).otherwise(F.lit(0)) for j, i in enumerate(self.of)]
+            most = state.agg(F.max(F.greatest(*sizes, F.lit(0)))).first()[0]
+            if not most:
+                break
+            state = through_table(self.step(state, gather=most <= self.gather_rows), "quantiles")
+        return state
+
+
+def _as_doubles(values: Mapping[str, Column]) -> dict[str, Column]:
+    return {name: F.nanvl(c.cast("double"), F.lit(None).cast("double")) for name, c in values.items()}
+
+
+def group_quantiles(
+    df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float], by: Sequence[str], gather_rows: int = GATHER_ROWS
+) -> DataFrame:
+    """One row for each group: its columns and, named as in ``values``, an array of quantiles (NULL without values)."""
+    search = _Search(df, _as_doubles(values), by, gather_rows)
+    shares = list(probabilities)
+
+    def ranks(_: int, n: Column) -> list[Column]:
+        return [r for low, _ in _rank_columns(n, shares) for r in (low, F.least(low + 1, F.greatest(n - 1, F.lit(0))))]
+
+    found = search.run(ranks)
+    columns = []
+    for i, name in enumerate(values):
+        n = F.col(f"n{i}")
+        out = []
+        for k, (_, share) in enumerate(_rank_columns(n, shares)):
+            j = 2 * (i * len(shares) + k)
+            low, high = F.col(f"found{j}"), F.col(f"found{j + 1}")
+            # Two equal values are one, infinite ones too; nothing is added for a whole rank.
+            infinite = F.lit(float("inf"))
+            whole = (share == 0) | (low == high) | (low == -infinite)
+            out.append(F.when(whole, low).when(high == infinite, high).otherwise(low + (high - low) * share))
+        columns.append(F.when(n > 0, F.array(*out)).alias(name))
+    return found.select(*(F.col(k).alias(b) for k, b in zip(search.keys, by, strict=True)), *columns)
+
+
+def _enclose(rank: int, n: int, grid: list[float], low: float, high: float) -> tuple[float, float]:
+    """The values of a sketch of ``n`` rows around a rank, further away than the sketch may err."""
+    place, slack = rank / n * GRID, 2.0 * GRID / ACCURACY
+    below, above = math.floor(place - slack) - 1, math.ceil(place + slack + GRID / n) + 1
+    return (grid[below] if below >= 0 else low), (grid[above] if above <= GRID else high)
 
 
 def order_statistics(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    ranks: Mapping[tuple[Group, str], Sequence[int]],
-    extent: Mapping[tuple[Group, str], tuple[int, float, float]],
-    by: Sequence[str] = (),
-    gather_rows: int = GATHER_ROWS,
-) -> dict[tuple[Group, str, int], float]:
-    """The value at each wanted 0-based rank, exact."""
-    found, wide, narrow = {}, {}, {}
-
-    def place(key, low, high, skipped, size):
-        if low == high:
-            found[key] = low
-        else:
-            (narrow if size <= gather_rows else wide)[key] = (low, high, skipped, size)
-
-    for (group, name), wanted in ranks.items():
-        count, low, high = extent[group, name]
-        for rank in set(wanted):
-            if rank == 0:
-                found[group, name, rank] = low
-            elif rank == count - 1:
-                found[group, name, rank] = high
+    df: DataFrame, values: Mapping[str, Column], wanted: Callable[[str, int], Sequence[int]], gather_rows: int = GATHER_ROWS
+) -> dict[str, tuple[int, dict[int, float]]]:
+    """For each column of doubles, how many values it has and those at the ranks that ``wanted(name, n)`` gives.
+
+    The places are a few numbers for each rank and stay on the driver; each pass is one aggregation.
+    """
+    columns = {f"_v{i}": name for i, name in enumerate(values)}
+    rows = df.select(*(values[name].alias(v) for v, name in columns.items()))
+    extent = rows.agg(*(e for v in columns for e in (F.count(v).alias(f"n{v}"), F.min(v).alias(f"a{v}"), F.max(v).alias(f"b{v}")))).first()
+    found: dict[str, dict[int, float]] = {v: {} for v in columns}
+    # (column, rank): the values it lies between, and how many rows do at most.
+    open_: dict[tuple[str, int], tuple[float, float, int]] = {}
+    for v, name in columns.items():
+        n = extent[f"n{v}"]
+        for r in set(wanted(name, n)) if n else ():
+            if r <= 0 or r >= n - 1:
+                found[v][r] = extent[f"a{v}"] if r <= 0 else extent[f"b{v}"]
+            else:
+                open_[v, r] = (-math.inf, math.inf, n)
+    while open_:
+        gather = max(most for _, _, most in open_.values()) <= gather_rows
+        places = list(dict.fromkeys((v, lo, hi) for (v, _), (lo, hi, _) in open_.items()))
+        aggregates = []
+        for j, (v, lo, hi) in enumerate(places):
+            c = F.col(v)
+            between = F.when((c > F.lit(lo)) & (c < F.lit(hi)), c)
+            inner = F.sort_array(F.collect_list(between)) if gather else F.struct(_grid(between).alias("g"), F.min(between).alias("a"), F.max(between).alias("b"))
+            aggregates += [
+                F.count_if(c < F.lit(lo)).alias(f"below{j}"), F.count_if(c == F.lit(lo)).alias(f"at{j}"),
+                F.count(between).alias(f"now{j}"), F.count_if(c == F.lit(hi)).alias(f"top{j}"), inner.alias(f"inner{j}"),
+            ]
+        counted, picks = rows.agg(*aggregates), []
+        for k, ((v, r), (lo, hi, _)) in enumerate(open_.items()):
+            j = places.index((v, lo, hi))
+            own = F.lit(r) - F.col(f"below{j}") - F.col(f"at{j}")
+            # Of sorted rows only the wanted one leaves the job.
+            inner = F.get(f"inner{j}", F.greatest(own, F.lit(0)).cast("int")) if gather else F.col(f"inner{j}")
+            picks += [own.alias(f"own{k}"), F.col(f"below{j}").alias(f"below{k}_"), F.col(f"now{j}").alias(f"now{k}_"), F.col(f"top{j}").alias(f"top{k}_"), inner.alias(f"pick{k}")]
+        row, following = counted.select(*picks).first(), {}
+        for k, ((v, r), (lo, hi, _)) in enumerate(open_.items()):
+            own, now, inner = row[f"own{k}"], row[f"now{k}_"], row[f"pick{k}"]
+            if r < row[f"below{k}_"] or own >= now + row[f"top{k}_"]:
+                # Should a sketch err by more than it promises, the search starts again from the ends.
+                following[v, r] = (-math.inf, math.inf, extent[f"n{v}"])
+            elif own < 0:
+                found[v][r] = lo
+            elif own >= now:
+                found[v][r] = hi
+            elif gather:
+                found[v][r] = inner
+            elif own in (0, now - 1):
+                found[v][r] = inner["a"] if own == 0 else inner["b"]
             else:
-                place((group, name, rank), low, high, 0, count)
-    if len(wide) + len(narrow) > MAX_TARGETS:
-        raise ValueError(f"{len(wide) + len(narrow)} order statistics wanted, at most {MAX_TARGETS} per call")
+                following[v, r] = (*_enclose(own, now, inner["g"], inner["a"], inner["b"]), math.ceil(now * 6 / GRID) + 8)
+        open_ = following
+    return {name: (extent[f"n{v}"], found[v]) for v, name in columns.items()}
 
-    search = _Search(df, values, by)
-    while wide:
-        narrowed = search.refine(wide)
-        wide = {}
-        for key, at in narrowed.items():
-            place(key, *at)
-    if narrow:
-        found.update(search.gather(narrow))
-    return found
+
+def _interpolate(low: float, high: float, share: float) -> float:
+    if share == 0 or low == high or low == -math.inf:
+        return low
+    return high if high == math.inf else low + (high - low) * share
 
 
 def exact_quantiles(
@@ -189,44 +267,31 @@ def exact_quantiles(
     """Quantiles with linear interpolation; NULL and NaN are left out.
 
     Returns ``{group: {name: [quantile, ...]}}``; without ``by`` the only group
-    is ``()``. A name without any value gets ``None``.
+    is ``()``. A name without any value gets ``None``. With many groups use
+    ``group_quantiles``: this brings one row for each to the driver.
     """
     if not values:
         return {(): {}}
-    doubles = {
-        name: F.nanvl(c.cast("double"), F.lit(None).cast("double")) for name, c in values.items()
-    }
-    extent = _extent(df, doubles, by)
-    if not extent:
-        return {(): {name: [None] * len(probabilities) for name in values}} if not by else {}
-    groups: dict[Group, dict[str, list[float | None]]] = {}
-    ranks, plans = {}, {}
-    for (group, name), (count, _, _) in extent.items():
-        if count:
-            plans[group, name] = _ranks(count, probabilities)
-            ranks[group, name] = [r for low, high, _ in plans[group, name] for r in (low, high)]
-    found = order_statistics(df, doubles, ranks, extent, by, gather_rows)
-    for group, name in extent:
-        answer = groups.setdefault(group, {})
-        if (group, name) not in plans:
-            answer[name] = [None] * len(probabilities)
-            continue
-        answer[name] = [
-            _interpolate(found[group, name, low], found[group, name, high], share)
-            for low, high, share in plans[group, name]
-        ]
-    return groups
+    if not by:
+        places = lambda n: [(math.floor(p * (n - 1)), p * (n - 1) - math.floor(p * (n - 1))) for p in probabilities]
+        found = order_statistics(df, _as_doubles(values), lambda _, n: [r for low, share in places(n) for r in (low, low + (share > 0))], gather_rows)
+        return {
+            (): {
+                name: [_interpolate(at[low], at[low + (share > 0)], share) for low, share in places(n)] if n else [None] * len(probabilities)
+                for name, (n, at) in found.items()
+            }
+        }
+    out = {}
+    names = {f"q{i}": name for i, name in enumerate(values)}
+    for row in group_quantiles(df, dict(zip(names, values.values(), strict=True)), probabilities, by, gather_rows).collect():
+        group = tuple(row[: len(by)])
+        out[group] = {name: list(row[q]) if row[q] is not None else [None] * len(probabilities) for q, name in names.items()}
+    return out
 
 
 def kth_smallest(
-    df: DataFrame, values: Mapping[str, Column], sizes: Mapping[str, int]
+    df: DataFrame, values: Mapping[str, Column], sizes: Mapping[str, int], gather_rows: int = GATHER_ROWS
 ) -> dict[str, float | None]:
     """The ``sizes[name]``-th smallest value of each column (1-based), exact."""
-    extent = _extent(df, values, ())
-    ranks = {}
-    for name in values:
-        count = extent[(), name][0]
-        if sizes[name] > 0 and count > 0:
-            ranks[(), name] = [min(sizes[name], count) - 1]
-    found = order_statistics(df, values, ranks, extent)
-    return {name: found[(), name, ranks[(), name][0]] if ((), name) in ranks else None for name in values}
+    found = order_statistics(df, {n: c.cast("double") for n, c in values.items()}, lambda name, n: [min(sizes[name], n) - 1] if sizes[name] > 0 else [], gather_rows)
+    return {name: next(iter(at.values()), None) for name, (_, at) in found.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -37,49 +37,62 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFra
     return spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.names), schema=schema)
 
 
-_local_dirs: dict[str, str] = {}
+_own_dirs: dict[str, str] = {}
+_held: dict[str, dict[str, None]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it.
+    """The folder all executors can reach, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session without the setting gets a folder of its own: on a
-    cluster a machine-local folder would be lost with its machine.
+    Where it is unset, as in tests, a session that runs in one process sets its
+    own. Any other is refused: a folder of one machine would be lost with it.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tarnish-")
-    return _local_dirs[context.applicationId]
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tarnish-")
+    return _own_dirs[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tarnish/{name}-{uuid.uuid4().hex[:12]}"
+    """A path of its own in the shared folder, known to ``release``."""
+    path = f"{shared_dir(spark)}/tarnish/{name}-{uuid.uuid4().hex[:12]}"
+    _held.setdefault(spark.sparkContext.applicationId, {})[path] = None
+    return path
 
 
 def through_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files.
 
     Cuts the lineage, keeps rows and order-dependent columns as written, and a
-    lost executor costs only its running tasks.
+    lost executor costs only its running tasks. The files stay until
+    ``release``, as a result that is not computed yet reads them.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table that comes in fewer parts than there are cores.
+def held(spark: SparkSession) -> list[str]:
+    """The paths in the shared folder that this application has taken and not released, oldest first."""
+    return list(_held.get(spark.sparkContext.applicationId, {}))
 
-    A small file is one task however much work follows; large tables come in
-    many parts already and are left alone.
+
+def release(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Delete tables of the shared folder: ``paths``, or all that are held.
+
+    For when their results have been computed or written elsewhere; works on any store that Spark reaches.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    own = _held.get(spark.sparkContext.applicationId, {})
+    jvm, configuration = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in list(own if paths is None else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(configuration).delete(path, True)
+        own.pop(p, None)
 
 
 def keep(df: DataFrame, how: str, name: str = "stage") -> DataFrame:

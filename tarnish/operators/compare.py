@@ -52,13 +52,22 @@ def kind_of_change(before: Column, after: Column, family: str) -> Column:
     )
 
 
+def require_unique(df: DataFrame, key: Sequence[str], what: str) -> None:
+    """Raise if a key is not a row's own: a join would multiply its rows."""
+    repeated = df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{what}: {', '.join(key)} is no key, {tuple(repeated[0])[:-1]} occurs {repeated[0]['n']} times")
+
+
 def cell_audit(before: DataFrame, after: DataFrame, key: Sequence[str] = (ROW_ID,)) -> DataFrame:
     """(key, column, before, after, kind): every cell of a row present in both that differs.
 
-    Joined on the row key, which is unique in each table, so no key can be hot.
+    Joined on the row key; a key that repeats in a table is an error.
     """
     key = list(key)
     require_columns(before, key)
+    require_unique(before, key, "before")
+    require_unique(_originals(after), key, "after")
     columns = _shared(before, after, key)
     left = before.select(*key, *(as_text(before, c).alias(f"_b{i}") for i, c in enumerate(columns)))
     right = _originals(after).select(*key, *(as_text(after, c).alias(f"_a{i}") for i, c in enumerate(columns)))
@@ -92,6 +101,8 @@ def similarity(perfect: DataFrame, recovered: DataFrame, key: Sequence[str] = (R
     the perfect table, so lost rows count as different. NULL equals nothing.
     """
     key = list(key)
+    require_unique(perfect, key, "perfect table")
+    require_unique(_originals(recovered), key, "recovered table")
     columns = _shared(perfect, recovered, key)
     left = perfect.select(*key, *(F.col(c).alias(f"_p{i}") for i, c in enumerate(columns)))
     right = _originals(recovered).select(*key, *(F.col(c).alias(f"_r{i}") for i, c in enumerate(columns)))

@@ -14,6 +14,7 @@ hash collision exactly there).
 from __future__ import annotations
 
 import random
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,9 +36,8 @@ from tarnish.functions.families import (
     text_columns,
     type_of,
 )
-from tarnish.functions.quantiles import exact_quantiles, kth_smallest
-from tarnish.functions.storage import small_table
-from tarnish.sources.generate import count_below, poisson_steps
+from tarnish.functions.quantiles import exact_quantiles, group_quantiles, kth_smallest
+from tarnish.sources.generate import drawn_count, poisson_steps
 
 # What a damaged numeric cell holds instead of a number.
 SENTINELS = (-999, 0, 999999)
@@ -237,7 +237,7 @@ def outlier_bounds(
 ) -> dict[tuple, dict[str, tuple[float, float, float, float]]]:
     """Per group and column: lower bound, upper bound, interquartile range, minimum."""
     found = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.0, 0.25, 0.75], by)
-    bounds: dict[tuple, dict[str, tuple[float, float, float, float]]] = {}
+    bounds: dict[tuple, dict[str, tuple[float, float, float, float]]] = {group: {} for group in found}
     for group, quartiles in found.items():
         for c, (smallest, q25, q75) in quartiles.items():
             if smallest is not None:
@@ -249,43 +249,51 @@ def outlier_bounds(
 def inject_outliers(
     df: DataFrame,
     draws: Draws,
-    rate: float = DEFAULT_RATES["outlier_rate"],
-    severity: float = DEFAULT_RATES["outlier_severity"],
+    rate: float | Column = DEFAULT_RATES["outlier_rate"],
+    severity: float | Column = DEFAULT_RATES["outlier_severity"],
     columns: Sequence[str] | None = None,
     exclude: Iterable[str] = (),
     sampling: str = "bernoulli",
     decimals: Mapping[str, int] | None = None,
     where: Column | None = None,
     by: Sequence[str] = (),
+    max_rate: float | None = MAX_OUTLIER_RATE,
 ) -> DataFrame:
     """Values beyond the quartile bounds, high or low by a coin flip.
 
     A column without negative values gets a high value where the low one would
     be negative. ``decimals`` rounds the new values of a column. With ``by``
-    each group has its own bounds; they go to the rows in a broadcast table
-    with one row per group (the quantile search limits how many there may be).
+    each group has its own bounds, joined to its rows; there may be any number
+    of groups. A ``rate`` above ``max_rate`` is lowered to it with a warning;
+    None allows any rate.
     """
+    if isinstance(rate, Column):
+        rate = rate if max_rate is None else F.least(rate, F.lit(max_rate))
+    elif max_rate is not None and rate > max_rate:
+        warnings.warn(f"outlier rate {rate} is lowered to max_rate {max_rate}", stacklevel=2)
+        rate = max_rate
     chosen = [c for c in numeric_columns(df, [*exclude, *by]) if columns is None or c in columns]
-    bounds = outlier_bounds(df, chosen, severity, by)
-    chosen = [c for c in chosen if any(c in of_group for of_group in bounds.values())]
     if not chosen:
         return df
-    names = [f"_{part}{i}" for i in range(len(chosen)) for part in ("lower", "upper", "iqr", "min")]
     original = df.columns
     if by:
-        keys = "".join(f"_by{i} {type_of(df, b).simpleString()}, " for i, b in enumerate(by))
-        rows = [
-            (*group, *(v for c in chosen for v in of_group.get(c, (None,) * 4))) for group, of_group in bounds.items()
-        ]
-        table = small_table(df.sparkSession, rows, keys + ", ".join(f"{n} double" for n in names))
+        named = {f"_q{i}": F.col(c) for i, c in enumerate(chosen)}
+        found = group_quantiles(df, named, [0.0, 0.25, 0.75], by)
+        table = found.select(*(F.col(b).alias(f"_by{i}") for i, b in enumerate(by)), *named)
         same = [F.col(b).eqNullSafe(F.col(f"_by{i}")) for i, b in enumerate(by)]
-        df = df.join(F.broadcast(table), same, "left")
-        parts = [F.col(n) for n in names]
+        df = df.join(table, same, "left")
+        parts = []
+        for q in named:
+            smallest, q25, q75 = (F.col(q)[k] for k in range(3))
+            iqr = q75 - q25
+            parts += [q25 - F.lit(severity) * iqr, q75 + F.lit(severity) * iqr, iqr, smallest]
     else:
-        parts = [F.lit(v) for c in chosen for v in bounds[()][c]]
-    hit = _hit_cells(
-        df, draws, "outlier", min(rate, MAX_OUTLIER_RATE), chosen, sampling, "rows_with_value", where
-    )
+        bounds = outlier_bounds(df, chosen, severity)[()] if chosen else {}
+        chosen = [c for c in chosen if c in bounds]
+        if not chosen:
+            return df
+        parts = [F.lit(v) for c in chosen for v in bounds[c]]
+    hit = _hit_cells(df, draws, "outlier", rate, chosen, sampling, "rows_with_value", where)
     changed = {}
     for i, c in enumerate(chosen):
         lower, upper, iqr, smallest = parts[4 * i : 4 * i + 4]
@@ -311,7 +319,7 @@ def inject_outliers(
 def inject_duplicates(
     df: DataFrame,
     draws: Draws,
-    rate: float = DEFAULT_RATES["duplicate_rate"],
+    rate: float | Mapping[float, Column] = DEFAULT_RATES["duplicate_rate"],
     sampling: str = "bernoulli",
     where: Column | None = None,
 ) -> DataFrame:
@@ -320,15 +328,18 @@ def inject_duplicates(
     Drawing ``n * rate`` rows with replacement gives each row a Poisson number
     of copies, so every row can decide alone: no join and no shuffle. With
     ``exact`` the draws are made one by one and counted per row; the row key
-    must then be ``_row_id`` with the values 0..n-1.
+    must then be ``_row_id`` with the values 0..n-1. A mapping gives each rate
+    the rows it applies to; others are not repeated.
     """
     if COPY in df.columns:
         raise ValueError("the table holds copies already")
     if sampling == "bernoulli":
         staged = draws.staged()
-        copies = count_below(staged.uniform("duplicate", "copies"), poisson_steps(rate)).cast("int")
-        if where is not None:
-            copies = F.when(where, copies).otherwise(F.lit(0))
+        u, copies = staged.uniform("duplicate", "copies"), F.lit(0)
+        rates = rate if isinstance(rate, Mapping) else {rate: F.lit(True)}
+        for r, rows in rates.items():
+            rows = rows if where is None else rows & where
+            copies = F.when(rows, drawn_count(u, *poisson_steps(r)).cast("int")).otherwise(copies)
         return staged.select(df, *df.columns, F.explode(F.sequence(F.lit(0), copies)).alias(COPY))
     if sampling != "exact":
         raise ValueError(f"unknown sampling {sampling!r}; use bernoulli or exact")

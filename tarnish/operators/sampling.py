@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarnish.functions.draws import Draws
 from tarnish.functions.quantiles import kth_smallest
 from tarnish.functions.storage import through_table
-from tarnish.sources.generate import count_below, poisson_steps
+from tarnish.sources.generate import drawn_count, poisson_steps
 
 
 def head(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
@@ -34,7 +34,7 @@ def sample_exact(df: DataFrame, rate: float, draws: Draws) -> DataFrame:
 def sample_with_replacement(df: DataFrame, rate: float, draws: Draws) -> DataFrame:
     """About ``n * rate`` draws; a row drawn several times comes with ``draw`` 1, 2, ..."""
     staged = draws.staged()
-    times = count_below(staged.uniform("sample", "copies"), poisson_steps(rate)).cast("int")
+    times = drawn_count(staged.uniform("sample", "copies"), *poisson_steps(rate)).cast("int")
     drawn = staged.select(df, *df.columns, times.alias("_times")).filter(F.col("_times") > 0)
     return drawn.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("draw"))
 

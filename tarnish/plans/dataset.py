@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.draws import Draws
 from tarnish.functions.families import ROW_ID, data_columns
-from tarnish.functions.storage import keep, through_table
+from tarnish.functions.storage import keep, release, through_table
 from tarnish.operators.compare import audit_counts, cell_audit
 from tarnish.operators.stats import TableFacts, duplicate_count, null_counts, type_counts
 from tarnish.operators.validate import Validation, pair_facts, validate_pair, validate_solvability
@@ -42,9 +42,10 @@ class DatasetTriple:
     exported: dict[str, list[str]] = field(default_factory=dict)
 
     def release(self) -> None:
-        """Free cached tables."""
+        """Free cached tables, and delete those this application holds in the shared folder."""
         for df in (self.perfect, self.dirty, self.recovered):
             df.unpersist()
+        release(self.dirty.sparkSession)
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:

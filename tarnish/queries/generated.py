@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from tarnish.functions.storage import spread
 from tarnish.queries import sql
 from tarnish.queries.registry import draws, query, table
 from tarnish.sources.builtin import ecommerce_spec, finance_spec, healthcare_spec
 from tarnish.sources.generate import generate_columns, verify_generated
-from tarnish.sources.spec import CategoricalColumn, DatetimeColumn, NumericColumn, TableSpec
+from tarnish.sources.spec import CategoricalColumn, DatetimeColumn, NumericColumn, TableSpec, spec_from_config
+
+# As a user would write it: words in any case, defaults left out, one column of no known type.
+LOOSE = {
+    "name": "loose",
+    "columns": [
+        {"name": "count", "type": "Numeric_Int", "distribution": "zipf"},
+        {"name": "amount", "type": "numeric_float", "distribution": "Exponential", "mean": 20, "min_value": 1},
+        {"name": "colour", "type": "categorical", "categories": ["red", "green", "blue"], "frequencies": [0.5, 0.3, 0.2]},
+        {"name": "day", "type": "datetime", "start_date": "2024-01-01"},
+        {"name": "photo", "type": "picture"},
+    ],
+}
 
 SPECS = {
+    "gen_from_config": spec_from_config(LOOSE).columns,
     "gen_uniform": [
         NumericColumn("x", distribution="uniform", min_value=-5, max_value=20, decimals=3),
         NumericColumn("k", integer=True, distribution="uniform", min_value=1000, max_value=999999),
@@ -27,10 +39,14 @@ SPECS = {
     "gen_poisson": [
         NumericColumn("few", integer=True, distribution="poisson", mean=3, min_value=1, max_value=20),
         NumericColumn("many", integer=True, distribution="poisson", mean=80),
+        NumericColumn("more", integer=True, distribution="poisson", mean=500),
+        NumericColumn("most", integer=True, distribution="poisson", mean=5000),
     ],
     "gen_binomial": [
         NumericColumn("ten", integer=True, distribution="binomial", mean=3, max_value=10),
         NumericColumn("hundred", integer=True, distribution="binomial", mean=40, max_value=100),
+        NumericColumn("often", integer=True, distribution="binomial", mean=150, max_value=1500),
+        NumericColumn("seldom", integer=True, distribution="binomial", mean=40, max_value=2000),
     ],
     "gen_categorical": [
         CategoricalColumn("weighted", ["a", "b", "c", "d"], [0.4, 0.35, 0.15, 0.1]),
@@ -61,7 +77,7 @@ def _register(name, columns):
 
     @query(name, sql.generated(spec, "o_orderkey", "orders"))
     def generated(spark, d):
-        return generate_columns(spread(table(spark, d, "orders")), spec, draws("o_orderkey"))
+        return generate_columns(table(spark, d, "orders"), spec, draws("o_orderkey"))
 
 
 for _name, _columns in SPECS.items():
@@ -70,7 +86,10 @@ for _name, _columns in SPECS.items():
 
 @query(
     "gen_verify",
-    "SELECT count(*) AS expected_rows, count(*) AS rows, 10 AS expected_columns, 10 AS columns, 0::BIGINT AS nulls FROM orders",
+    # The SQL makes the cells itself and counts those it left empty.
+    f"WITH g AS ({sql.generated(ecommerce_spec(), 'o_orderkey', 'orders')}) SELECT (SELECT count(*) FROM orders) AS expected_rows, "
+    "count(*) AS rows, 10 AS expected_columns, 10 AS columns, "
+    f"CAST(sum({' + '.join(f'({c.name} IS NULL)::INT' for c in ecommerce_spec().columns)}) AS BIGINT) AS nulls FROM g",
 )
 def gen_verify(spark, d):
     orders = table(spark, d, "orders")

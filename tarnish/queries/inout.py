@@ -10,7 +10,7 @@ from tarnish.queries import sql
 from tarnish.queries.registry import query, table
 from tarnish.queries.relational import CUSTOMER, DIRTY_CUSTOMER, dirty_customer
 from tarnish.sources.files import export_dataset, export_summary, read_table, write_table
-from tarnish.streaming.streams import clean_stream, dedupe_stream, windowed_quality, write_available, write_totals
+from tarnish.streaming.streams import clean_stream, dedupe_stream, windowed_quality, write_available
 
 
 def _there_and_back(df, fmt, lossless=False, by=()):
@@ -51,14 +51,19 @@ def sink_by_dataset(spark, d):
     return _there_and_back(table(spark, d, "orders"), "parquet", by=["o_orderpriority"])
 
 
-@query("export_layout")
+@query(
+    "export_layout",
+    "SELECT * FROM (VALUES ('dirty', 'dirty.csv', true), ('dirty', 'dirty.parquet', true), ('dirty', 'dirty.json', true), "
+    "('clean', 'clean.csv', true), ('clean', 'clean.parquet', true), ('clean', 'clean.json', true), "
+    "('metadata', 'metadata.json', true)) AS t(dataset, name, has_files)",
+)
 def export_layout(spark, d):
-    """Tables and sizes of an exported pair (sizes depend on the codec, so there is no SQL for them)."""
+    """The tables of an exported pair, and whether each has files that hold something."""
     dirty = dirty_customer(spark, d)
     written = export_dataset(
         dirty, table(spark, d, "customer"), {"source": "customer"}, new_path(spark, "export"), "all"
     )
-    return export_summary(spark, written).select("dataset", F.element_at(F.split("path", "/"), -1).alias("name"), "size_bytes")
+    return export_summary(spark, written).select("dataset", F.element_at(F.split("path", "/"), -1).alias("name"), ((F.col("files") > 0) & (F.col("size_bytes") > 0)).alias("has_files"))
 
 
 def _event_stream(spark, d):
@@ -87,8 +92,8 @@ def stream_clean(spark, d):
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, d):
-    # The delay spans all events, so that a copy is dropped however late it comes.
-    distinct = dedupe_stream(_event_stream(spark, d), ["user_id", "event_type"], "ts", "3650 days")
+    # All events come in one micro-batch, within which every copy is dropped; state is kept for a day.
+    distinct = dedupe_stream(_event_stream(spark, d), ["user_id", "event_type"], "ts", "1 day")
     path = new_path(spark, "stream-dedupe")
     write_available(distinct.select("user_id", "event_type"), path).awaitTermination()
     return spark.read.schema("user_id bigint, event_type string").parquet(path)
@@ -96,12 +101,12 @@ def stream_dedupe(spark, d):
 
 @query(
     "stream_window_quality",
-    "SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS rows, "
-    "count(*) FILTER (value IS NULL) AS missing, count(*) FILTER (props <> trim(props)) AS whitespace_issues "
-    "FROM events GROUP BY 1",
+    "WITH w AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS rows, "
+    "count(*) FILTER (value IS NULL) AS missing, count(*) FILTER (props <> trim(props)) AS whitespace_issues FROM events GROUP BY ALL) "
+    "SELECT * FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY",
 )
 def stream_window_quality(spark, d):
     totals = windowed_quality(_event_stream(spark, d), "ts", "1 hour", "1 day", ["value", "props"])
     path = new_path(spark, "stream-window")
-    write_totals(totals, path).awaitTermination()
-    return spark.read.parquet(path)
+    write_available(totals, path).awaitTermination()
+    return spark.read.schema("window_start timestamp_ntz, rows bigint, missing bigint, whitespace_issues bigint").parquet(path)

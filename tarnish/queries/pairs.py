@@ -6,22 +6,25 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnish.functions.families import ROW_ID
-from tarnish.functions.storage import keep, small_table, spread
+from tarnish.functions.storage import keep, new_path, small_table
 from tarnish.operators import inject, stats
 from tarnish.operators.clean import CleanText, Impute
-from tarnish.operators.compare import similarity
+from tarnish.operators.compare import audit_counts, cell_audit, similarity
 from tarnish.operators.validate import expected_range, out_of_range, pair_facts, validate_pair, validate_solvability
 from tarnish.plans import report
-from tarnish.plans.batch import batch_quality, clean_batch, corrupt_batch
+from tarnish.plans.batch import batch_quality, clean_batch, corrupt_batch, damaged_types, typed_again
 from tarnish.plans.cleaning import cleaning_plan, run_cleaning
 from tarnish.plans.dataset import recovery_summary, table_counts
 from tarnish.plans.injection import InjectionConfig
 from tarnish.plans.injection import inject as inject_all
 from tarnish.queries import sql
+from tarnish.queries.errors import AUDIT as CUSTOMER_AUDIT
 from tarnish.queries.registry import draws, query, table
 from tarnish.queries.relational import CUSTOMER, DIRTY_CUSTOMER, dirty_customer
+from tarnish.sources.files import read_metadata, write_metadata
 
 DATA = CUSTOMER[1:]
 STRATEGIES = ("missing_values", "duplicates")
@@ -44,7 +47,7 @@ PAIR = (
 
 def pair(spark, d):
     """customer with missing cells and copies, and the same table recovered."""
-    perfect = spread(table(spark, d, "customer")).withColumnRenamed("c_custkey", ROW_ID)
+    perfect = table(spark, d, "customer").withColumnRenamed("c_custkey", ROW_ID)
     dirty = inject_all(perfect, InjectionConfig.custom(STRATEGIES), draws(ROW_ID))
     # Fits and reports read the dirty table many times: damage it once.
     dirty = keep(dirty, "table", "dirty")
@@ -107,6 +110,70 @@ def data_loss(spark, d):
     return _one_row(spark, {**found, "duplicate_rows": rows["Duplicate removal"]})
 
 
+def _metadata(log):
+    return {"applied_strategies": STRATEGIES, "cleaning_operations": log, "corruption_config": {"difficulty": "custom"}}
+
+
+@query(
+    "corruption_analysis",
+    PAIR + f", {_MEASURES} SELECT 'missing_values' AS strategy, dm AS cells FROM q UNION ALL SELECT 'duplicates', dd FROM q",
+)
+def corruption_analysis(spark, d):
+    _, dirty, recovered, log = pair(spark, d)
+    found = report.corruption_analysis(pair_facts(dirty, recovered)[0], _metadata(log))
+    return small_table(spark, list(found["estimated_corruptions_by_strategy"].items()), "strategy string, cells bigint")
+
+
+_CELL_KINDS = {"missing_values": ("nulled", "emptied", "sentinel"), "outliers": ("value",)}
+
+
+@query(
+    "corruption_analysis_audited",
+    f"WITH a AS ({CUSTOMER_AUDIT}) "
+    + " UNION ALL ".join(
+        f"SELECT '{s}' AS strategy, count(*) AS cells FROM a WHERE kind IN ({', '.join(repr(k) for k in kinds)})" for s, kinds in _CELL_KINDS.items()
+    ),
+)
+def corruption_analysis_audited(spark, d):
+    perfect, dirty = table(spark, d, "customer"), dirty_customer(spark, d)
+    audit = [r.asDict() for r in audit_counts(cell_audit(perfect, dirty, ["c_custkey"])).collect()]
+    metadata = {"injection_log": audit}
+    facts = stats.table_facts(dirty, unique="none")
+    return small_table(spark, [(s, report.damaged_cells(s, facts, metadata)) for s in _CELL_KINDS], "strategy string, cells bigint")
+
+
+@query(
+    "cleaning_analysis",
+    "SELECT * FROM (VALUES ('handle_missing_values', 1::BIGINT, 'c_acctbal,c_mktsegment,c_name,c_nationkey'), "
+    "('remove_duplicates', 1::BIGINT, '')) AS t(operation, steps, columns)",
+)
+def cleaning_analysis(spark, d):
+    log = pair(spark, d)[3]
+    found = report.cleaning_analysis(_metadata(log))["operations_by_type"]
+    rows = [(name, entry["count"], ",".join(entry["columns_affected"])) for name, entry in found.items()]
+    return small_table(spark, rows, "operation string, steps bigint, columns string")
+
+
+@query(
+    "metadata_document",
+    PAIR
+    + f", {_MEASURES} SELECT 'dirty' AS name, dr AS rows, 4::BIGINT AS columns, dm AS missing, dd AS duplicates, 'custom' AS difficulty FROM q "
+    "UNION ALL SELECT 'clean', rr, 4, rm, rd, 'custom' FROM q",
+)
+def metadata_document(spark, d):
+    """Written as JSON and read back."""
+    _, dirty, recovered, log = pair(spark, d)
+    facts = pair_facts(dirty, recovered)
+    path = write_metadata(spark, report.metadata_document(_metadata(log), *facts), new_path(spark, "metadata"))
+    document = read_metadata(spark, path)
+    rows = []
+    for name, side in (("dirty", "dirty"), ("clean", "recovered")):
+        shape, counts = document["datasets"][name]["shape"], document["statistics"]
+        missing, copies = counts["missing_values"][side]["total"], counts["duplicates"][side]
+        rows.append((name, shape["rows"], shape["columns"], missing, copies, document["corruption_details"]["difficulty_level"]))
+    return small_table(spark, rows, "name string, rows bigint, columns bigint, missing bigint, duplicates bigint, difficulty string")
+
+
 @query(
     "recommendations",
     PAIR
@@ -442,7 +509,7 @@ BATCH_SQL = (
 
 
 def batch_pair(spark, d) -> tuple[DataFrame, DataFrame]:
-    orders = spread(table(spark, d, "orders")).withColumnRenamed("o_orderkey", ROW_ID)
+    orders = table(spark, d, "orders").withColumnRenamed("o_orderkey", ROW_ID)
     injections = {p: InjectionConfig.custom(s) for p, s in BATCH.items()}
     dirty = corrupt_batch(
         orders, injections, draws(ROW_ID), by="o_orderpriority", decimals={"o_totalprice": 2}
@@ -451,6 +518,43 @@ def batch_pair(spark, d) -> tuple[DataFrame, DataFrame]:
     return dirty, clean_batch(dirty, injections, by="o_orderpriority")
 
 
+TYPED = {"1-URGENT": ("type_corruption",), "2-HIGH": ("missing_values", "type_corruption"), "5-LOW": ("missing_values",)}
+TYPE_COLUMNS = {"1-URGENT": ("o_totalprice",), "2-HIGH": ("o_custkey", "o_orderdate")}
+
+
+@query(
+    "batch_dirty",
+    # Each dataset with its own types: text where it drew the strategy, numbers and times elsewhere.
+    "WITH t AS (SELECT o_orderpriority AS p, CAST(o_orderkey AS BIGINT) AS _row_id, "
+    + ", ".join(
+        f"CASE WHEN o_orderpriority IN ('2-HIGH', '5-LOW') THEN {sql.missing_number(c, 'o_orderkey', kind)} ELSE {c} END AS {c}"
+        for c, kind in (("o_custkey", "BIGINT"), ("o_totalprice", "DOUBLE"))
+    )
+    + ", o_orderdate FROM orders) SELECT p AS o_orderpriority, _row_id, "
+    "CASE WHEN p = '2-HIGH' THEN CAST(o_custkey AS VARCHAR) END AS custkey_text, CASE WHEN p <> '2-HIGH' THEN o_custkey END AS custkey, "
+    "CASE WHEN p = '1-URGENT' THEN CAST(o_totalprice AS VARCHAR) END AS totalprice_text, CASE WHEN p <> '1-URGENT' THEN o_totalprice END AS totalprice, "
+    "CASE WHEN p <> '2-HIGH' THEN o_orderdate END AS orderdate FROM t",
+)
+def batch_dirty(spark, d):
+    orders = table(spark, d, "orders").withColumnRenamed("o_orderkey", ROW_ID)
+    injections = {p: InjectionConfig.custom(s, type_columns=TYPE_COLUMNS.get(p)) for p, s in TYPED.items()}
+    dirty = corrupt_batch(orders, injections, draws(ROW_ID), by="o_orderpriority")
+    own = damaged_types(orders, injections)
+
+    def is_text(c):
+        return F.col("o_orderpriority").isin([p for p, columns in own.items() if c in columns])
+
+    return dirty.select(
+        "o_orderpriority",
+        ROW_ID,
+        F.when(is_text("o_custkey"), F.col("o_custkey")).alias("custkey_text"),
+        F.when(~is_text("o_custkey"), typed_again(dirty, "o_custkey", T.LongType())).alias("custkey"),
+        F.when(is_text("o_totalprice"), F.col("o_totalprice")).alias("totalprice_text"),
+        F.when(~is_text("o_totalprice"), typed_again(dirty, "o_totalprice", T.DoubleType())).alias("totalprice"),
+        F.when(~is_text("o_orderdate"), typed_again(dirty, "o_orderdate", T.TimestampNTZType())).alias("orderdate"),
+    )
+
+
 def _stage_sql(source, name):
     nulls = " + ".join(f"({c} IS NULL)::INT" for c in ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
     return (

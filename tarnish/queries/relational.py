@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarnish.functions.families import ROW_ID
-from tarnish.functions.quantiles import exact_quantiles, kth_smallest
+from tarnish.functions.quantiles import exact_quantiles, group_quantiles, kth_smallest
 from tarnish.functions.storage import small_table
 from tarnish.operators import inject, sampling, stats
 from tarnish.operators.compare import new_values
@@ -263,6 +263,30 @@ def quantiles_by_group(spark, d):
     return out.select("l_returnflag", "l_linestatus", *(F.round(q, 6).alias(q) for q in ("q25", "q50", "q75")))
 
 
+@query(
+    "quantiles_many_groups",
+    "SELECT l_orderkey, round(quantile_cont(l_extendedprice, 0.25), 6) AS q25, round(quantile_cont(l_quantity, 0.5), 6) AS q50 "
+    "FROM lineitem GROUP BY 1",
+)
+def quantiles_many_groups(spark, d):
+    values = {"p": F.col("l_extendedprice"), "q": F.col("l_quantity")}
+    found = group_quantiles(table(spark, d, "lineitem"), values, [0.25, 0.5], ["l_orderkey"])
+    return found.select("l_orderkey", F.round(F.col("p")[0], 6).alias("q25"), F.round(F.col("q")[1], 6).alias("q50"))
+
+
+@query(
+    "quantiles_infinity",
+    "WITH t AS (SELECT CASE l_linenumber WHEN 7 THEN 'Infinity'::DOUBLE WHEN 6 THEN '-Infinity'::DOUBLE ELSE l_extendedprice END AS v FROM lineitem) "
+    "SELECT quantile_cont(v, 0.0) AS q0, round(quantile_cont(v, 0.5), 6) AS q50, quantile_cont(v, 1.0) AS q100 FROM t",
+)
+def quantiles_infinity(spark, d):
+    line, infinite = F.col("l_linenumber"), F.lit(float("inf"))
+    v = F.when(line == 7, infinite).when(line == 6, -infinite).otherwise(F.col("l_extendedprice"))
+    # A small limit, so that the search takes several passes.
+    found = exact_quantiles(table(spark, d, "lineitem"), {"v": v}, [0.0, 0.5, 1.0], gather_rows=10)[()]["v"]
+    return small_table(spark, [tuple(found)], "q0 double, q50 double, q100 double").withColumn("q50", F.round("q50", 6))
+
+
 IQR_COLUMNS = {"events": ("value",), "documents": ("n_chars",), "lineitem": ("l_extendedprice", "l_quantity")}
 
 
@@ -352,13 +376,22 @@ def sample_rate(spark, d):
 
 @query(
     "sample_with_replacement",
-    f"SELECT orders.*, unnest(range(1, 1 + {sql._steps(sql.u('o_orderkey', 'sample', 'copies'), sql.poisson_steps(0.3))}))"
+    f"SELECT orders.*, unnest(range(1, 1 + {sql.counted(sql.u('o_orderkey', 'sample', 'copies'), *sql.poisson_steps(0.3))}))"
     "::INTEGER AS draw FROM orders",
 )
 def sample_with_replacement(spark, d):
     return sampling.sample_with_replacement(table(spark, d, "orders"), 0.3, draws("o_orderkey"))
 
 
+@query(
+    "sample_with_replacement_often",
+    f"SELECT region.*, unnest(range(1, 1 + {sql.counted(sql.u('r_regionkey', 'sample', 'copies'), *sql.poisson_steps(800.0))}))"
+    "::INTEGER AS draw FROM region",
+)
+def sample_with_replacement_often(spark, d):
+    return sampling.sample_with_replacement(table(spark, d, "region"), 800.0, draws("r_regionkey"))
+
+
 @query(
     "shuffle_rows",
     f"SELECT o_orderkey, row_number() OVER (ORDER BY {sql.u('o_orderkey', 'shuffle')}, o_orderkey) - 1 AS position FROM orders",

@@ -131,7 +131,14 @@ def outlier(
 
 def copies(key: str, rate: float = DEFAULT_RATES["duplicate_rate"]) -> str:
     """How often a row is repeated."""
-    return _steps(u(key, "duplicate", "copies"), poisson_steps(rate))
+    return counted(u(key, "duplicate", "copies"), *poisson_steps(rate))
+
+
+def counted(draw: str, first: int, bounds: Sequence[float]) -> str:
+    """The value a draw stands for; many steps are looked up in a list."""
+    if len(bounds) <= 64:
+        return _steps(draw, bounds, [str(first + i) for i in range(len(bounds) + 1)])
+    return f"({first} + len(list_filter([{', '.join(map(repr, bounds))}], lambda b: b <= {draw})))"
 
 
 def _steps(draw: str, bounds: Sequence[float], values: Sequence[str] | None = None) -> str:
@@ -150,10 +157,10 @@ def _numeric(c: NumericColumn, key: str) -> str:
         scale = 1.0 if c.mean is None else float(c.mean)
         x = f"({low!r}::DOUBLE - {scale!r}::DOUBLE * ln(1.0 - {draw}))"
     elif c.distribution == "poisson":
-        x = f"{_steps(draw, poisson_steps(float(c.mean)))}::DOUBLE"
+        x = f"{counted(draw, *poisson_steps(float(c.mean)))}::DOUBLE"
     elif c.distribution == "binomial":
         n = int(c.max_value)
-        x = f"{_steps(draw, binomial_steps(n, c.mean / n))}::DOUBLE"
+        x = f"{counted(draw, *binomial_steps(n, c.mean / n))}::DOUBLE"
     else:
         mean = 0.0 if c.mean is None else float(c.mean)
         std = 1.0 if c.std is None else float(c.std)

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +53,29 @@ def _csv_options(lossless: bool) -> dict[str, Any]:
     return options | ({"nullValue": NULL_TEXT} if lossless else {"nullValue": "", "emptyValue": ""})
 
 
+# How line breaks are written in a lossless CSV, and the sign itself.
+LINE_BREAKS = (("%", "%25"), ("\n", "%0A"), ("\r", "%0D"))
+
+
+def _texts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Each text with the first of each pair replaced by the second, in order."""
+
+    def replaced(c: str) -> Column:
+        out = F.col(c)
+        for old, new in pairs:
+            out = F.replace(out, F.lit(old), F.lit(new))
+        return out.alias(c)
+
+    return df.select(*(replaced(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema))
+
+
 def write_csv(df: DataFrame, path: str, lossless: bool = False, mode: str = "error", by: Sequence[str] = ()) -> str:
-    """CSV with a header. NULL and the empty text both come out empty, unless ``lossless``."""
+    """CSV with a header. NULL and the empty text both come out empty, unless ``lossless``.
+
+    ``lossless`` also escapes line breaks in texts, so that a line is a row and files can be read in parts.
+    """
+    if lossless:
+        df = _texts(df, LINE_BREAKS)
     df.write.mode(mode).partitionBy(*by).options(**_csv_options(lossless)).csv(path)
     return path
 
@@ -74,6 +95,7 @@ def write_json(df: DataFrame, path: str, mode: str = "error", by: Sequence[str]
 def write_table(
     df: DataFrame, path: str, fmt: str, lossless: bool = False, mode: str = "error", by: Sequence[str] = ()
 ) -> str:
+    df = normalise_missing(df)
     if fmt == "csv":
         return write_csv(df, path, lossless, mode, by)
     if fmt == "parquet":
@@ -94,13 +116,16 @@ def read_table(
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
     lossless: bool = False,
-    nan_is_missing: bool = True,
+    nan_is_missing: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A table written by this module, or any table in these formats.
 
-    CSV and JSON need a schema: inferring one would read the data twice. NaN is
-    read as NULL; for tables known to hold none, ``nan_is_missing=False`` lets
-    filters on float columns reach the scan.
+    CSV and JSON need a schema: inferring one would read the data twice. Tables
+    written by this module hold no NaN, and filters on their columns reach the
+    scan; ``nan_is_missing=True`` reads the NaN of other tables as NULL, which
+    keeps filters on float columns above the scan. ``multi_line`` reads CSV of
+    other writers whose texts hold line breaks; such files are not split.
     """
     finish = normalise_missing if nan_is_missing else lambda df: df
     if fmt == "parquet":
@@ -109,9 +134,9 @@ def read_table(
     if schema is None:
         raise ValueError(f"reading {fmt} needs a schema")
     if fmt == "csv":
-        # Texts may hold line breaks; part files keep their size in check.
-        options = {**_csv_options(lossless), "multiLine": True}
-        return finish(spark.read.schema(schema).options(**options).csv(path))
+        options = {**_csv_options(lossless), "multiLine": multi_line}
+        df = spark.read.schema(schema).options(**options).csv(path)
+        return finish(_texts(df, [(new, old) for old, new in reversed(LINE_BREAKS)]) if lossless else df)
     if fmt == "json":
         options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
         return finish(spark.read.schema(schema).options(**options).json(path))

@@ -9,7 +9,8 @@ partitioning. ``generate_table`` numbers the rows with ``spark.range``;
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +20,8 @@ from tarnish.functions.draws import Draws, StagedDraws
 from tarnish.functions.families import ROW_ID, data_columns
 from tarnish.sources.spec import CategoricalColumn, ColumnSpec, DatetimeColumn, NumericColumn, TableSpec
 
-#: Steps a lookup may have as nested conditions; longer ones scan a literal array.
+#: Steps a lookup may have as nested conditions; longer ones are nested by blocks.
 TREE_STEPS = 64
-#: Poisson and binomial use a rounded normal from this variance on.
-LARGE_VARIANCE = 400.0
 _DAY = timedelta(days=1)
 _SECONDS_PER_DAY = 86400
 
@@ -38,31 +37,70 @@ def step(u: Column, bounds: Sequence[float], leaves: Sequence[Column]) -> Column
 
 
 def count_below(u: Column, bounds: Sequence[float]) -> Column:
-    """How many of the ascending ``bounds`` are at or below ``u``, as a double."""
+    """How many of the ascending ``bounds`` are at or below ``u``, as a double.
+
+    Many bounds are halved down to a block, and the block is counted.
+    """
     if len(bounds) <= TREE_STEPS:
         return step(u, bounds, [F.lit(float(i)) for i in range(len(bounds) + 1)])
-    steps = F.array(*(F.lit(b) for b in bounds))
-    return F.size(F.filter(steps, lambda b: b <= u)).cast("double")
+    size = math.ceil(len(bounds) / TREE_STEPS)
+    blocks = [(i, bounds[i : i + size]) for i in range(0, len(bounds), size)]
 
+    def counted(before: int, block: Sequence[float]) -> Column:
+        held = F.array(*(F.lit(b) for b in block))
+        return F.lit(float(before)) + F.size(F.filter(held, lambda b: b <= u)).cast("double")
+
+    return step(u, [block[0] for _, block in blocks[1:]], [counted(*b) for b in blocks])
 
-def poisson_steps(rate: float) -> list[float]:
-    """Cumulative probabilities of 0, 1, 2, ... up to the resolution of a draw."""
-    out, term, total, k = [], math.exp(-rate), 0.0, 0
-    while total < 1.0 - 1e-15 and k < rate + 40 * math.sqrt(rate + 1) + 40:
-        total += term
-        out.append(min(total, 1.0))
-        k += 1
-        term *= rate / k
-    return out
 
+def _cumulative(mode: int, last: float, log_term: Callable[[int], float]) -> tuple[int, list[float]]:
+    """The first value whose probability counts at the resolution of a draw, and the sums from there on.
 
-def binomial_steps(n: int, p: float) -> list[float]:
-    """Cumulative probabilities of 0 .. n-1 successes."""
+    Terms are taken from the most likely value outwards, so that none underflows
+    before it is too small to matter.
+    """
+    least = math.log(2.0**-53) - 12
+    low, high = mode, mode
+    while low > 0 and log_term(low - 1) > least:
+        low -= 1
+    while high < last and log_term(high + 1) > least:
+        high += 1
     out, total = [], 0.0
-    for k in range(n):
-        total += math.comb(n, k) * p**k * (1 - p) ** (n - k)
+    for k in range(low, high + 1):
+        total += math.exp(log_term(k))
         out.append(min(total, 1.0))
-    return out
+        if total >= 1.0 - 1e-15:
+            break
+    return low, out
+
+
+def poisson_steps(rate: float) -> tuple[int, list[float]]:
+    """The first value, and the cumulative probabilities from it up to the resolution of a draw."""
+    if rate <= 0:
+        return 0, []
+    return _cumulative(int(rate), math.inf, lambda k: k * math.log(rate) - rate - math.lgamma(k + 1))
+
+
+def binomial_steps(n: int, p: float) -> tuple[int, list[float]]:
+    """The first number of successes, and the cumulative probabilities from it, below ``n``."""
+    if p <= 0 or n <= 0:
+        return 0, []
+    if p >= 1:
+        return n, []
+    ways = math.lgamma(n + 1)
+
+    def log_term(k: int) -> float:
+        return ways - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+
+    low, out = _cumulative(min(n, int((n + 1) * p)), n, log_term)
+    # The last value needs no bound: what is left is its own.
+    return low, out[: n - low]
+
+
+def drawn_count(u: Column, first: int, bounds: Sequence[float]) -> Column:
+    """The value that a uniform draw stands for, as a double."""
+    counted = count_below(u, bounds)
+    return counted + F.lit(float(first)) if first else counted
 
 
 def _standard_normal(draws: StagedDraws, name: str) -> Column:
@@ -70,10 +108,6 @@ def _standard_normal(draws: StagedDraws, name: str) -> Column:
     return radius * F.cos(F.lit(2 * math.pi) * draws.uniform(name, "angle"))
 
 
-def _rounded_normal(draws: StagedDraws, name: str, mean: float, variance: float) -> Column:
-    return F.greatest(F.lit(0.0), F.rint(F.lit(mean) + F.lit(math.sqrt(variance)) * _standard_normal(draws, name)))
-
-
 def _normal(c: NumericColumn, draws: StagedDraws) -> Column:
     mean = 0.0 if c.mean is None else float(c.mean)
     std = 1.0 if c.std is None else float(c.std)
@@ -95,18 +129,13 @@ def _exponential(c: NumericColumn, draws: StagedDraws) -> Column:
 
 def _poisson(c: NumericColumn, draws: StagedDraws) -> Column:
     rate = 5.0 if c.mean is None else float(c.mean)
-    if rate >= LARGE_VARIANCE:
-        return _rounded_normal(draws, c.name, rate, rate)
-    return count_below(draws.uniform(c.name, "value"), poisson_steps(rate))
+    return drawn_count(draws.uniform(c.name, "value"), *poisson_steps(rate))
 
 
 def _binomial(c: NumericColumn, draws: StagedDraws) -> Column:
     n = 10 if c.max_value is None else int(c.max_value)
     p = 0.5 if c.mean is None else min(max(c.mean / n, 0.0), 1.0)
-    if n * p * (1 - p) >= LARGE_VARIANCE:
-        normal = _rounded_normal(draws, c.name, n * p, n * p * (1 - p))
-        return F.least(normal, F.lit(float(n)))
-    return count_below(draws.uniform(c.name, "value"), binomial_steps(n, p))
+    return drawn_count(draws.uniform(c.name, "value"), *binomial_steps(n, p))
 
 
 DISTRIBUTION_COLUMNS = {
@@ -240,8 +269,10 @@ def verify_generated(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def check_generated(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """``df`` itself, after raising if its shape is not the spec's."""
+    """``df`` itself, after raising if its shape is not the spec's; nulls are warned of."""
     found = verify_generated(df, spec).first()
+    if found["nulls"]:
+        warnings.warn(f"{spec.name}: {found['nulls']} generated cells are null", stacklevel=2)
     if found["rows"] != spec.num_rows or found["columns"] != len(spec.columns):
         raise ValueError(
             f"{spec.name}: {found['rows']} rows x {found['columns']} columns, "

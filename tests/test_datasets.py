@@ -1,13 +1,17 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tarnish import (
+    DatasetConfig,
+    Draws,
     InjectionConfig,
     cleaning_plan,
     corrupt_dataset,
     ecommerce_spec,
+    generate_batch,
     generate_dataset,
     generate_table,
     generate_training_set,
@@ -17,8 +21,10 @@ from tarnish import (
     with_row_ids,
 )
 from tarnish.functions.families import COPY, ROW_ID, data_columns
-from tarnish.functions.storage import new_path
+from tarnish.functions.storage import held, new_path, release, through_table
+from tarnish.operators.compare import cell_audit
 from tarnish.plans import dataset as plans
+from tarnish.plans.batch import corrupt_batch, generate_batches
 from tarnish.plans.injection import STRATEGIES, register_strategy
 from tarnish.plans.report import metadata_document, quality_score
 from tarnish.operators.stats import TableFacts
@@ -162,3 +168,73 @@ def test_training_set_is_one_batch(spark):
         assert 0 <= row["quality_score"] <= 100
     assert spark.read.parquet(f"{path}/clean.parquet").select("dataset_id").distinct().count() == 4
     assert len(read_metadata(spark, f"{path}/metadata.json")["datasets"]) == 4
+
+
+def test_a_batch_holds_the_datasets_that_single_runs_make(spark):
+    batch_order = ["missing_values", "text_whitespace", "outliers", "type_corruption", "duplicates"]
+    configs = [
+        DatasetConfig("plain", "finance", 120, "custom", ("missing_values", "text_whitespace"), seed=5),
+        DatasetConfig("typed", "finance", 60, "custom", tuple(batch_order), seed=9),
+    ]
+    batch = generate_batch(spark, configs, hold="table", validate=False)
+    for config in configs:
+        dirty, _ = batch.dataset(config.name)
+        single = generate_dataset(spark, config, validate=False, include_quality_report=False).dirty
+        kept = [c for c in dirty.columns if c in single.columns]
+        assert dirty.select(kept).dtypes == single.select(kept).dtypes
+        rows = [sorted(map(repr, df.select(kept).collect())) for df in (dirty.where("_copy = 0"), single.where("_copy = 0") if COPY in single.columns else single)]
+        assert rows[0] == rows[1], config.name
+    assert {r["dataset_id"] for r in batch.types.collect()} == {"typed"}
+    assert batch.validation.count() == 2
+
+
+def test_batches_of_several_domains_and_sizes(spark):
+    path = new_path(spark, "batches")
+    configs = [
+        DatasetConfig("a", "finance", 50, "easy", seed=1),
+        DatasetConfig("b", "ecommerce", 80, "easy", seed=2),
+        DatasetConfig("c", "finance", 20, "medium", seed=3),
+    ]
+    batches = generate_batches(spark, configs, path, formats="parquet", validate=False)
+    sizes = {r["dataset_id"]: r["count"] for b in batches.values() for r in b.perfect.groupBy("dataset_id").count().collect()}
+    assert sizes == {"a": 50, "b": 80, "c": 20}
+    documents = {r["dataset_id"]: r for r in spark.read.json(f"{path}/finance/datasets.json").collect()}
+    assert set(documents) == {"a", "c"} and documents["a"]["num_rows"] == 50 and documents["c"]["seed"] == 3
+
+
+def test_a_batch_refuses_what_it_cannot_do(spark):
+    perfect = generate_table(spark, ecommerce_spec(10)).withColumn("dataset_id", F.lit("x"))
+    for options in ({"sampling": "exact"}, {"exclude": ("quantity",)}):
+        with pytest.raises(ValueError, match="x: "):
+            corrupt_batch(perfect, {"x": InjectionConfig.custom(["missing_values"], **options)}, Draws())
+
+
+def test_released_tables_are_gone(spark, tmp_path):
+    df = spark.range(10)
+    before = set(held(spark))
+    through_table(df, "one")
+    through_table(df, "two")
+    own = [p for p in held(spark) if p not in before]
+    assert len(own) == 2 and all(os.path.isdir(p.removeprefix("file://")) for p in own)
+    release(spark, own)
+    assert set(held(spark)) == before and not any(os.path.exists(p.removeprefix("file://")) for p in own)
+
+
+def test_filters_reach_the_scan_by_default(spark, capsys):
+    lineitem = read_table(spark, "/root/testdata/sf0.001/lineitem.parquet")
+    lineitem.filter("l_quantity > 49").select("l_orderkey").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThan(l_quantity,49.0)" in plan and "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_a_lossless_csv_has_a_row_in_each_line(spark):
+    df = spark.createDataFrame([(1, "a\nb%0A%"), (2, "\r\n"), (3, None), (4, "")], "k long, s string")
+    path = write_table(df.coalesce(1), new_path(spark, "lines"), "csv", lossless=True)
+    assert spark.read.text(path).count() == 5
+    assert sorted(read_table(spark, path, "csv", df.schema, lossless=True).collect()) == sorted(df.collect())
+
+
+def test_a_repeated_key_is_an_error(spark):
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    with pytest.raises(ValueError, match="no key"):
+        cell_audit(lineitem, lineitem, ["l_orderkey", "l_linenumber"])

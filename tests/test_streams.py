@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tarnish import CleanText, Impute, RemoveDuplicates
 from tarnish.functions.storage import new_path
-from tarnish.streaming.streams import clean_stream, dedupe_stream, windowed_quality, write_available, write_totals
+from tarnish.streaming.streams import clean_stream, dedupe_stream, windowed_quality, write_available
 
 
 @pytest.fixture
@@ -15,7 +15,7 @@ def source(spark):
     )
     path = new_path(spark, "stream-source")
     df.repartition(4).write.parquet(path)
-    return df, lambda: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return df, lambda files=1: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def test_a_fitted_plan_gives_the_same_on_a_stream(spark, source):
@@ -38,11 +38,17 @@ def test_copies_are_dropped_across_micro_batches(spark, source):
     assert spark.read.parquet(path).count() == 5
 
 
-def test_windows_hold_all_rows(spark, source):
+def test_closed_windows_come_once_whatever_the_zone(spark, source):
     _, stream = source
     path = new_path(spark, "stream-out")
-    write_totals(windowed_quality(stream(), "at", "1 hour", "10 minutes", ["name"]), path).awaitTermination()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        write_available(windowed_quality(stream(10), "at", "1 hour", "10 minutes", ["name"]), path).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     rows = spark.read.parquet(path).orderBy("window_start").collect()
-    assert [r["rows"] for r in rows] == [60, 60, 60, 20]
-    assert sum(r["missing"] for r in rows) == 67
-    assert sum(r["whitespace_issues"] for r in rows) == 133
+    # The last event is at 3:19, so the watermark closes the windows that end by 3:09.
+    assert [(r["window_start"].hour, r["rows"]) for r in rows] == [(0, 60), (1, 60), (2, 60)]
+    assert sum(r["missing"] for r in rows) == 60
+    assert sum(r["whitespace_issues"] for r in rows) == 120
