@@ -6,7 +6,7 @@ sketch, what lies at and below the two is counted, and the search goes on
 strictly between them: a pass keeps about a hundredth of the rows, and always
 drops the two values themselves, so ties and infinities end it sooner. Once few enough rows
 lie between, they are sorted in the pass that counts them. All columns share
-the passes; a table of some million rows takes two.
+the passes; after the extent, a table of some million rows takes two.
 
 With groups the places are columns of a table with one row for each group, joined
 back for the next pass, so there may be as many groups as rows, and one may hold
@@ -65,21 +65,20 @@ class _Search:
         return df.groupBy(*self.keys).agg(*aggregates)
 
     def start(self, ranks) -> DataFrame:
-        """Extent and sketch of all values; ``ranks(i, n)`` gives the wanted ranks of value ``i``."""
+        """Extent of all values, and ranks that may lie anywhere; ``ranks(i, n)`` gives those of value ``i``."""
         aggregates = []
         for i, v in enumerate(self.values):
             c = F.col(v)
-            aggregates += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"), _grid(c).alias(f"grid{i}")]
+            aggregates += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
         extent = self._grouped(self.df, aggregates)
-        columns, self.of = [], []
+        columns, self.of, ends = [], [], F.lit(float("inf"))
         for i in range(len(self.values)):
-            n, low, high = F.col(f"n{i}"), F.col(f"min{i}"), F.col(f"max{i}")
+            n = F.col(f"n{i}")
             for r in ranks(i, n):
                 j = len(self.of)
                 self.of.append(i)
-                ends = F.when(r <= 0, low).when(r >= n - 1, high)
-                lo, hi = self._between(r, n, F.col(f"grid{i}"), low, high)
-                columns += [r.alias(f"r{j}"), lo.alias(f"lo{j}"), hi.alias(f"hi{j}"), ends.alias(f"found{j}"), self._most(n).alias(f"in{j}")]
+                known = F.when(r <= 0, F.col(f"min{i}")).when(r >= n - 1, F.col(f"max{i}"))
+                columns += [r.alias(f"r{j}"), (-ends).alias(f"lo{j}"), ends.alias(f"hi{j}"), known.alias(f"found{j}"), n.alias(f"in{j}")]
         return extent.select(*self.keys, *(f"n{i}" for i in range(len(self.values))), *columns)
 
     @staticmethod
