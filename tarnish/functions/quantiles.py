@@ -3,7 +3,7 @@
 The built-in exact ``percentile`` keeps every distinct value of a column in one
 reducer. Here each wanted rank is enclosed between two values of a quantile
 sketch, what lies at and below the two is counted, and the search goes on
-strictly between them: a pass keeps about a hundredth of the rows, and always
+strictly between them: a pass keeps a few hundredths of the rows, and always
 drops the two values themselves, so ties and infinities end it sooner. Once few enough rows
 lie between, they are sorted in the pass that counts them. All columns share
 the passes; after the extent, a table of some million rows takes two.
