@@ -43,7 +43,7 @@ from tarnish.llm.suffixes import earlier_windows
 SIZE = 100
 GRAM = 40
 #: Bytes of text in a group of documents; changes no result.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 8 << 20
 #: Shards of segments for each group of documents; changes no result.
 SHARDS_PER_GROUP = 4
 #: Bytes of segments that one suffix array is made of; changes no result.
