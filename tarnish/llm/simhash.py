@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnish.functions.storage import through_table
+from tarnish.llm import minhash
 from tarnish.llm.common import free_name, id_and_text
 from tarnish.llm.links import components
 
@@ -68,19 +69,15 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
-    """(doc_id, fingerprint) for each row, the fingerprint as a signed long; and the text's hash, if asked for."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fingerprint) for each row, the fingerprint as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [signed(fingerprint(t)) for t in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fingerprint", "text_key"][: len(columns)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fingerprint"])
 
-    wanted = id_and_text(docs, id_col, text_col)
-    if with_key:
-        wanted = wanted.withColumn("text_key", F.xxhash64("text"))
-    return wanted.mapInArrow(run, "doc_id long, fingerprint long" + ", text_key long" * with_key)
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint long")
 
 
 class _Classes:
@@ -227,17 +224,18 @@ def near_copies(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", t
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows and columns of one document of each class: the one with the smallest id.
 
-    Rows that share both id and text are one document, of which one row stays; of
-    texts that share an id and a class, that with the smallest hash.
+    Classes are those of ``minhash``: links are five-word shingle sets of Jaccard
+    similarity 0.8 or more. Rows that share both id and text are one document, of
+    which one row stays; of texts that share an id and a class, that with the smallest hash.
     """
     text_key = F.xxhash64(F.col(text_col).cast("string"))
-    prints = through_table(fingerprints(docs, id_col, text_col, with_key=True), "simhash")
-    rooted = prints.join(class_ids(prints, radius), "fingerprint", "left")
+    made = through_table(minhash.sketches(docs, id_col, text_col), "minhash")
+    rooted = made.join(minhash.class_ids(docs, made, id_col, text_col), "word_key", "left")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("kept")
-    kept = rooted.groupBy(F.coalesce("root", "fingerprint")).agg(first).select("kept.doc_id", "kept.text_key").distinct()
+    kept = rooted.groupBy(F.coalesce("root", "word_key")).agg(first).select("kept.doc_id", "kept.text_key").distinct()
     own_id, own_key = free_name("own_id", docs, kept), free_name("own_key", docs, kept)
     keyed = docs.withColumns({own_id: F.col(id_col).cast("long"), own_key: text_key})
     left = keyed.join(kept, keyed[own_id].eqNullSafe(kept.doc_id) & (keyed[own_key] == kept.text_key), "left_semi")
