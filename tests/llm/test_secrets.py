@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from tarnish.llm.secret_scan import CLASSES, Scanner, dense_windows, merged, redact, scan_secrets
 
 STATED = {
@@ -50,6 +52,39 @@ def test_entropy_finds_keys_and_leaves_allowed_strings():
         assert not [s for s in scanner.spans(f"a {calm} b") if s[0] == "entropy"], calm
 
 
+def test_runs_of_one_character():
+    assert Scanner().entropy_spans("aB1" + "x" * 300) == [] == dense_windows("z" * 50, 20, 3.0)
+
+
+def random_tokens(alphabet, size, n=1000, tail=0):
+    r = random.Random(f"{alphabet}{size}{tail}")
+    return ["".join(r.choices(alphabet, k=size)) + "".join(r.choices("0123456789", k=tail)) for _ in range(n)]
+
+
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+@pytest.mark.parametrize("size", [20, 32])
+@pytest.mark.parametrize("alphabet", [LOWER + DIGITS, UPPER + "234567", LOWER + UPPER + DIGITS, LOWER + UPPER])
+def test_random_tokens_are_found(alphabet, size):
+    scanner = Scanner()
+    for tail in (0, 3):
+        found = sum(bool(scanner.entropy_spans(f"a {t} b")) for t in random_tokens(alphabet, size, tail=tail))
+        assert found >= 970, (alphabet, size, tail, found)
+
+
+def test_words_of_clean_texts_are_left():
+    scanner = Scanner()
+    r = random.Random(9)
+    words = "the people of this small country have always found their way through mountains and long rivers without asking strangers about distance".split()
+    for _ in range(2000):
+        some = r.choices(words, k=r.randint(3, 9))
+        for calm in ("_".join(some), "-".join(some).upper(), "".join(w.title() for w in some if len(w) > 2), "/".join(w.title() for w in some), "".join(some) + "2024"):
+            assert not scanner.entropy_spans(f"a {calm} b"), calm
+    for calm in ("Rechtsschutzversicherungsgesellschaften", "anticonstitutionnellement", "src/main/java/org/example/ClassLoader", "SOME_CONSTANT_NAME_OF_LENGTH_7"):
+        assert not scanner.entropy_spans(f"a {calm} b"), calm
+
+
 def test_redact(docs_of, spark, odd, odd_rows, empty):
     docs = docs_of([(1, 'my token = "abcdef123" here'), (2, "clean"), (3, None), (2, "clean")])
     out = redact(docs)
