@@ -6,8 +6,8 @@ of twenty characters at least) and ``hex`` (24 lower-case hex digits at least).
 entropy scan takes every run of key characters as a candidate, slides a window
 over it for each character class, and keeps the Shannon entropy of the window
 by adding the character that enters and taking away the one that leaves.
-Windows over the class's threshold make ``entropy`` spans, where they meet one
-span, unless the candidate is on the allow list.
+A run of a class with a window over its threshold is an ``entropy`` span, and runs
+that meet are one span, unless the candidate is on the allow list.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Rows
 are looked at one by one, so repeated rows, nulls elsewhere and other columns
@@ -94,9 +94,8 @@ class Scanner:
             if any(a.fullmatch(word) for a in allow):
                 continue
             for run, window, bits in runs:
-                for part in run.finditer(word):
-                    begin = m.start() + part.start()
-                    found += [(begin + a, begin + b) for a, b in dense_windows(part.group(), window, bits)]
+                # The whole run, as windows over the threshold leave out a secret's ends.
+                found += [(m.start() + p.start(), m.start() + p.end()) for p in run.finditer(word) if dense_windows(p.group(), window, bits)]
         return merged(found)
 
     def spans(self, text: str | None) -> list[tuple[str, int, int]]:

@@ -73,6 +73,20 @@ def test_random_tokens_are_found(alphabet, size):
         assert found >= 970, (alphabet, size, tail, found)
 
 
+@pytest.mark.parametrize("alphabet", [LOWER + DIGITS, UPPER + "234567", LOWER + UPPER + DIGITS])
+def test_found_tokens_are_found_whole(alphabet):
+    scanner = Scanner()
+    for size in (32, 40, 64):
+        for t in random_tokens(alphabet, size, 300):
+            assert scanner.entropy_spans(f"a {t} b") in ([], [(2, 2 + size)])
+
+
+def test_redaction_leaves_no_piece_of_a_token(docs_of):
+    tokens = random_tokens(LOWER + DIGITS, 64, 50)
+    out = redact(docs_of([(i, f"see {t} here") for i, t in enumerate(tokens)])).collect()
+    assert {r.text for r in out} == {"see [secret] here"}
+
+
 def test_words_of_clean_texts_are_left():
     scanner = Scanner()
     r = random.Random(9)
