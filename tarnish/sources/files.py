@@ -117,15 +117,16 @@ def read_table(
     schema: T.StructType | str | None = None,
     lossless: bool = False,
     nan_is_missing: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """A table written by this module, or any table in these formats.
 
     CSV and JSON need a schema: inferring one would read the data twice. Tables
     written by this module hold no NaN, and filters on their columns reach the
     scan; ``nan_is_missing=True`` reads the NaN of other tables as NULL, which
-    keeps filters on float columns above the scan. ``multi_line`` reads CSV of
-    other writers whose texts hold line breaks; such files are not split.
+    keeps filters on float columns above the scan. CSV is read with line breaks
+    in its texts, which keeps a file in one task, unless ``lossless`` escaped
+    them; ``multi_line=False`` splits other files that have none.
     """
     finish = normalise_missing if nan_is_missing else lambda df: df
     if fmt == "parquet":
@@ -134,7 +135,7 @@ def read_table(
     if schema is None:
         raise ValueError(f"reading {fmt} needs a schema")
     if fmt == "csv":
-        options = {**_csv_options(lossless), "multiLine": multi_line}
+        options = {**_csv_options(lossless), "multiLine": not lossless if multi_line is None else multi_line}
         df = spark.read.schema(schema).options(**options).csv(path)
         return finish(_texts(df, [(new, old) for old, new in reversed(LINE_BREAKS)]) if lossless else df)
     if fmt == "json":

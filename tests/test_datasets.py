@@ -238,3 +238,14 @@ def test_a_repeated_key_is_an_error(spark):
     lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     with pytest.raises(ValueError, match="no key"):
         cell_audit(lineitem, lineitem, ["l_orderkey", "l_linenumber"])
+
+
+def test_a_csv_comes_back_with_its_line_breaks(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001/documents.parquet")
+    assert docs.where("text LIKE '%\n%'").count()
+    path = write_table(docs, new_path(spark, "documents"), "csv")
+    back = read_table(spark, path, "csv", docs.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+    odd = spark.createDataFrame([(1, "a\nb"), (2, "a\r\nb"), (3, "a\rb"), (4, '"x"\n,"y"\n'), (5, "\n"), (6, " c%0A "), (7, None)], "k int, t string")
+    path = write_table(odd.coalesce(1), new_path(spark, "odd"), "csv")
+    assert sorted(map(tuple, read_table(spark, path, "csv", odd.schema).collect())) == sorted(map(tuple, odd.collect()))
