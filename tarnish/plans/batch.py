@@ -10,6 +10,7 @@ table with a row per dataset, joined as the optimizer sees fit.
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -149,9 +150,11 @@ def plan_table(df: DataFrame, injections: Mapping[Any, InjectionConfig], by: str
         unknown = [s for s in config.strategies if s not in BATCH_STRATEGIES]
         if unknown:
             raise ValueError(f"{name}: a batch cannot run {unknown}")
+        if "outliers" in config.strategies and config.used_rates != config.rates:
+            warnings.warn(f"{name}: outlier rate {config.rates['outlier_rate']} is lowered to max_rate {config.max_rate}", stacklevel=2)
     rates = sorted(I.DEFAULT_RATES)
     rows = [
-        (name, config.seed, *(s in config.strategies for s in BATCH_STRATEGIES), *(float(config.rates[r]) for r in rates))
+        (name, config.seed, *(s in config.strategies for s in BATCH_STRATEGIES), *(float(config.used_rates[r]) for r in rates))
         for name, config in injections.items()
     ]
     flags = ", ".join(f"_has_{s} boolean" for s in BATCH_STRATEGIES)
@@ -197,7 +200,8 @@ def corrupt_batch(
             df = operator(df, draws, F.col(f"_{rate}"), exclude=exclude, where=F.col(f"_has_{strategy}"))
     if "outliers" in used:
         df = I.inject_outliers(
-            df, draws, F.col("_outlier_rate"), F.col("_outlier_severity"), exclude=exclude, where=F.col("_has_outliers"), by=[by], decimals=decimals
+            df, draws, F.col("_outlier_rate"), F.col("_outlier_severity"), exclude=exclude, where=F.col("_has_outliers"), by=[by], decimals=decimals,
+            max_rate=None,  # the plan has the rates as lowered
         )
     turned = sorted({c for columns in types.values() for c in columns})
     if turned:

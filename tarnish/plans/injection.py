@@ -55,6 +55,8 @@ class InjectionConfig:
     #: Copies made before a cell-level strategy are damaged apart from their
     #: originals and are exact copies no more; so they are made last by default.
     duplicates_last: bool = True
+    #: Outlier rates above it are lowered to it with a warning; None allows any.
+    max_rate: float | None = I.MAX_OUTLIER_RATE
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "strategies", tuple(self.strategies))
@@ -84,11 +86,17 @@ class InjectionConfig:
             return list(self.strategies)
         return sorted(self.strategies, key=lambda s: s == "duplicates")
 
+    @property
+    def used_rates(self) -> dict[str, float]:
+        """The rates as they are injected."""
+        rate = self.rates["outlier_rate"]
+        return {**self.rates, "outlier_rate": rate if self.max_rate is None else min(rate, self.max_rate)}
+
     def to_dict(self) -> dict[str, Any]:
         return {
             "strategies": list(self.strategies),
             "seed": self.seed,
-            "rates": dict(self.rates),
+            "rates": self.used_rates,
             "difficulty": self.difficulty,
             "sampling": self.sampling,
         }
@@ -116,6 +124,7 @@ _INJECTORS: dict[str, Injector] = {
         exclude=config.exclude,
         sampling=config.sampling,
         decimals=config.decimals,
+        max_rate=config.max_rate,
     ),
     "duplicates": lambda df, draws, config: I.inject_duplicates(
         df, draws, config.rates["duplicate_rate"], config.sampling

@@ -249,3 +249,14 @@ def test_a_csv_comes_back_with_its_line_breaks(spark):
     odd = spark.createDataFrame([(1, "a\nb"), (2, "a\r\nb"), (3, "a\rb"), (4, '"x"\n,"y"\n'), (5, "\n"), (6, " c%0A "), (7, None)], "k int, t string")
     path = write_table(odd.coalesce(1), new_path(spark, "odd"), "csv")
     assert sorted(map(tuple, read_table(spark, path, "csv", odd.schema).collect())) == sorted(map(tuple, odd.collect()))
+
+
+def test_a_batch_keeps_to_each_datasets_max_rate(spark):
+    df = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") % 97).cast("double").alias("v"), (F.col("id") % 2).alias("dataset"))
+    free = InjectionConfig.custom(["outliers"], rates={"outlier_rate": 0.2}, max_rate=None)
+    bound = InjectionConfig.custom(["outliers"], rates={"outlier_rate": 0.2})
+    assert (free.to_dict()["rates"]["outlier_rate"], bound.to_dict()["rates"]["outlier_rate"]) == (0.2, 0.05)
+    with pytest.warns(UserWarning, match="max_rate"):
+        dirty = corrupt_batch(df, {0: free, 1: bound}, Draws(42, ("k",)), by="dataset")
+    hit = dict(map(tuple, dirty.join(df.select("k", F.col("v").alias("was")), "k").where("v <> was").groupBy("dataset").count().collect()))
+    assert 480 < hit[0] < 720 and 90 < hit[1] < 210
