@@ -396,7 +396,7 @@ def batch_documents(
     """One row for each dataset: its config, what was done to it, its counts and score, and its validation."""
     rows = [
         (
-            c.name, c.domain, c.num_rows, c.difficulty, injections[c.name].seed, json.dumps(dict(injections[c.name].rates)),
+            c.name, c.domain, c.num_rows, c.difficulty, injections[c.name].seed, json.dumps(injections[c.name].used_rates),
             [s for s in BATCH_STRATEGIES if s in injections[c.name].strategies], required_operations(injections[c.name].strategies), list(types[c.name]),
         )
         for c in configs
