@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tarnish.llm.common import binaries, chunks, id_and_text
-from tarnish.llm.tokens import encoder_for
+from tarnish.llm.tokens import ENCODE_CHARS, encoder_for
 
 SEQUENCE_TOKENS = 2048
 WINDOW_TOKENS = 1 << 20
@@ -119,7 +119,7 @@ def pack(
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, ENCODE_CHARS):
                 ids, counts = encoder.encode(texts[a:b])
                 ends = np.cumsum(counts)
                 for d, lo, hi in zip(doc_ids[a:b], (ends - counts).tolist(), ends.tolist(), strict=True):

@@ -8,7 +8,8 @@ frame, then the number of frames. Any zstandard decoder reads the whole file; a
 reader that wants some documents reads the two tables and those frames alone.
 
 Documents lie in ascending order of their id over all files (null ids first;
-rows that share an id follow each other, by text). Null text counts as empty and gives
+rows that share an id follow each other, by a hash of the text, so that many of
+them, or many null ids, spread over files). Null text counts as empty and gives
 the end id alone. An empty table gives an empty folder. Memory: one file's
 tables and one chunk of texts for each task.
 """
@@ -27,9 +28,10 @@ import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarnish.llm.common import binaries, chunks, id_and_text
-from tarnish.llm.tokens import encoder_for
+from tarnish.llm.tokens import ENCODE_CHARS, encoder_for
 
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -53,13 +55,13 @@ class FrameWriter:
         self.out, self.ids, self.entries, self.tokens = out, [], [], 0
         self.compressor = zstandard.ZstdCompressor(level=level, write_checksum=True)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        raw = ids.astype("<u4").tobytes()
+    def add(self, doc_id: int | None, raw: bytes) -> None:
+        """``raw``: the document's ids as little-endian unsigned 32-bit integers."""
         frame = self.compressor.compress(raw)
         self.out.write(frame)
         self.ids.append(_NO_ID if doc_id is None else doc_id)
         self.entries.append((len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
-        self.tokens += len(ids)
+        self.tokens += len(raw) // 4
 
     def close(self) -> tuple[int, int]:
         index = np.array(self.ids, "<i8").tobytes()
@@ -124,7 +126,7 @@ def write_token_files(
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_folder(folder)
         part, writer = TaskContext.get().partitionId(), None
-        encoder = encoder_for(tokenizer)
+        encoder, end = encoder_for(tokenizer), struct.pack("<I", end_id)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -133,11 +135,11 @@ def write_token_files(
                 out = fs.open_output_stream(attempt)
                 writer = FrameWriter(out, level)
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, ENCODE_CHARS):
                 ids, counts = encoder.encode(texts[a:b])
-                ends = np.cumsum(counts)
-                for d, lo, hi in zip(doc_ids[a:b], (ends - counts).tolist(), ends.tolist(), strict=True):
-                    writer.add(d, np.append(ids[lo:hi], np.uint32(end_id)))
+                raw, ends = memoryview(ids.astype("<u4").tobytes()), 4 * np.cumsum(counts)
+                for d, lo, hi in zip(doc_ids[a:b], (ends - 4 * counts).tolist(), ends.tolist(), strict=True):
+                    writer.add(d, b"".join((raw[lo:hi], end)))
         if writer is not None:
             documents, tokens = writer.close()
             out.close()
@@ -145,7 +147,8 @@ def write_token_files(
             fs.move(attempt, f"{root}/{name}")
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "documents": [documents], "tokens": [tokens]})
 
-    ordered = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    own = id_and_text(docs, id_col, text_col).withColumn("same", F.xxhash64("text"))
+    ordered = own.repartitionByRange("doc_id", "same").sortWithinPartitions("doc_id", "same", "text").drop("same")
     # One short row for each file: the manifest grows with the files, not with their documents.
     return sorted(map(tuple, ordered.mapInArrow(write, "part long, file string, documents long, tokens long").collect()))
 

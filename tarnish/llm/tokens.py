@@ -1,10 +1,18 @@
-"""Token ids of whole texts with the ``tokenizers`` library, each distinct word encoded once.
+"""Token ids of whole texts with the ``tokenizers`` library, each distinct core of letters encoded once.
 
 A public BPE tokenizer never joins what a blank parts: a token holds at most the
 blank before its word. So the ids of a text are the ids of its words (each with
-its blank) in a row, and a task encodes a word it has met before by looking it
-up. Only white space beside a blank breaks the rule; such texts are encoded
-whole. Texts that look like special tokens are ordinary text.
+its blank) in a row, and those of a plain word are the ids of its letters and of
+the punctuation behind them. A task encodes a core or tail it has met before by
+looking it up; Arrow parts the texts and finds the distinct words of a call. Only white space beside a blank breaks the rule; such texts are
+encoded whole.
+
+A text that spells a special token gets the id that the library gives it, unless
+``special_as_text`` is set: then it is ordinary text.
+
+What is remembered is bounded and kept in two generations: when the younger is
+full it becomes the older, and what is met again moves over without being
+encoded again. This changes no result.
 """
 
 from __future__ import annotations
@@ -15,148 +23,186 @@ from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tarnish.llm.common import ranges
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words a task remembers; beyond that it forgets all and starts again. Changes no result.
-CACHE_WORDS = 400_000
+#: Units (cores, tails, other words) of one generation.
+CACHE_UNITS = 400_000
+#: Characters of text to hand over at once; more of them share more words, and take more memory.
+ENCODE_CHARS = 1 << 22
 
 # Letters of one script, composed, whose lower case is one letter; then marks that never join a letter.
-_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,!?;:#*$%&|<>@()\"-]*)")
+_LETTER_CLASS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS = "".join(c for c in map(chr, range(256)) if re.match(f"[{_LETTER_CLASS}]", c))
+_PLAIN = rf"\A[{_LETTER_CLASS}]+\z"
+_TAIL = ".,!?;:#*$%&|<>@()\"-"
+_LONG_TAIL = 8
 
+_CORE, _BEHIND, _WORD, _FIRST = range(4)
 
-class _Numbered(dict):
-    """Numbers words as they come; ``new`` holds those without ids yet."""
 
-    def __init__(self) -> None:
+class _Numbers(dict):
+    """Numbers the keys of one kind as they come, with those of the other kinds."""
+
+    def __init__(self, units: _Units) -> None:
         super().__init__()
-        self.new: list = []
+        self.units, self.new = units, []
 
-    def __missing__(self, word):
-        self[word] = number = len(self)
-        self.new.append(word)
+    def __missing__(self, key):
+        self[key] = number = self.units.size
+        self.units.size += 1
+        self.new.append(key)
         return number
 
 
+class _Units:
+    """Ids of numbered units in one flat pool; unit 0 has none."""
+
+    def __init__(self) -> None:
+        self.size = 1
+        self.numbers = [_Numbers(self) for _ in range(4)]
+        self.pool, self.filled = np.zeros(1 << 12, np.uint32), 0
+        self.begin, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self.white_first, self.white_last = np.zeros(1 << 10, bool), np.zeros(1 << 10, bool)
+
+    def find(self, kind: int, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.numbers[kind].__getitem__, keys), np.int64, len(keys))
+
+    def grow(self) -> None:
+        if self.size > len(self.begin):
+            for name in ("begin", "count", "white_first", "white_last"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros(max(self.size, 2 * len(old)) - len(old), old.dtype)]))
+
+    def put(self, at: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        if self.filled + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(flat)), np.uint32)])
+        self.pool[self.filled : self.filled + len(flat)] = flat
+        self.begin[at], self.count[at] = self.filled + np.cumsum(counts) - counts, counts
+        self.filled += len(flat)
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.count[at]
+        return self.pool[np.repeat(self.begin[at], counts) + ranges(counts)], counts
+
+
 class WordEncoder:
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, special_as_text: bool = False, cache_units: int = CACHE_UNITS) -> None:
         from tokenizers import Tokenizer
 
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = special_as_text
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.special = "|".join(map(re.escape, added)) if added and not special_as_text else None
         self.keeps_blanks = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
-        self.lowers = self.whole(["A"])[0].tolist() == self.whole(["a"])[0].tolist()
+        self.lowers = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         # How the byte-level alphabet spells the blank and each letter, as the tokenizer itself says.
-        letters = [c for c in map(chr, range(256)) if _PLAIN.fullmatch(c)]
-        spelled = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+        spelled = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _LETTERS}
         self.blank = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0] if self.keeps_blanks else ""
         self.spelling = str.maketrans({c: s for c, s in spelled.items() if c != s})
-        self.cache_words = cache_words
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words = _Numbered()
-        self.cores: dict[str, tuple[int, ...]] = {}
-        self.tails: dict[str, tuple[int, ...]] = {}
-        self.pool = np.zeros(1024, np.uint32)
-        self.begin = np.zeros(1024, np.int64)
-        self.count = np.zeros(1024, np.int64)
-        self.white_first = np.zeros(1024, bool)
-        self.white_last = np.zeros(1024, bool)
-        self.known = self.filled = 0
-
-    def whole(self, texts: Sequence[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
-
-    def _ids(self, words: list) -> list[tuple[int, ...]]:
-        """Ids of units: (word,) for the first of a text, otherwise a word after a blank."""
-        out: list[tuple[int, ...]] = [()] * len(words)
-        rest = []
-        plain, cores, tails, tokenize, blank, lowers = _PLAIN.fullmatch, self.cores, self.tails, self.model.tokenize, self.blank, self.lowers
-        for i, w in enumerate(words):
-            m = plain(w) if type(w) is str else None
-            if m is None:
-                rest.append(i)
-                continue
-            core, tail = m.groups()
-            if lowers:
-                core = core.lower()
-            ids = cores.get(core)
-            if ids is None:
+        self.cache_units = cache_units
+        self.units, self.older = _Units(), _Units()
+
+    def _encode_new(self, kind: int, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if kind == _CORE:
+            tokenize, blank, out = self.model.tokenize, self.blank, []
+            for x in keys:
+                if self.lowers:
+                    x = x.lower()
                 # Letters alone are one piece to the model.
-                piece = core if core.isascii() else core.translate(self.spelling)
-                ids = cores[core] = tuple([t.id for t in tokenize(blank + piece)])
-            if tail:
-                if tail not in tails:
-                    tails[tail] = tuple(self.whole([tail])[0].tolist())
-                ids += tails[tail]
-            out[i] = ids
-        blank = " " if self.keeps_blanks else ""
-        spelled = [w[0] if isinstance(w, tuple) else blank + w for w in (words[i] for i in rest)]
-        for i, ids in zip(rest, self.whole(spelled), strict=True):
-            out[i] = tuple(ids.tolist())
-        return out
+                out.append([t.id for t in tokenize(blank + (x if x.isascii() else x.translate(self.spelling)))])
+        else:
+            blank = " " if kind == _WORD and self.keeps_blanks else ""
+            out = [e.ids for e in self.tokenizer.encode_batch_fast([blank + x for x in keys], add_special_tokens=False)]
+        counts = np.fromiter(map(len, out), np.int64, len(out))
+        return counts, np.fromiter(chain.from_iterable(out), np.uint32, int(counts.sum()))
 
     def _learn(self) -> None:
-        new = self.words.new
-        if not new:
-            return
-        ids = self._ids(new)
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
-        n, known = self.known + len(new), self.known
-        if n > len(self.begin):
-            for name in ("begin", "count", "white_first", "white_last"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.zeros(max(n, 2 * len(old)) - len(old), old.dtype)]))
-        if self.filled + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(flat)), np.uint32)])
-        self.pool[self.filled : self.filled + len(flat)] = flat
-        self.count[known:n] = counts
-        self.begin[known:n] = self.filled + np.cumsum(counts) - counts
-        spelled = [w[0] if isinstance(w, tuple) else w for w in new]
-        self.white_first[known:n] = [not w or w[0].isspace() for w in spelled]
-        self.white_last[known:n] = [not w or w[-1].isspace() for w in spelled]
-        self.filled, self.known = self.filled + len(flat), n
-        new.clear()
-
-    def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        units, older = self.units, self.older
+        units.grow()
+        for kind, numbers in enumerate(units.numbers):
+            keys = numbers.new
+            if not keys:
+                continue
+            at = units.find(kind, keys)
+            if older.size > 1:
+                old = np.fromiter((older.numbers[kind].get(k, 0) for k in keys), np.int64, len(keys))
+                moved = old > 0
+                ids, counts = older.ids(old[moved])
+                units.put(at[moved], counts, ids)
+                keys, at = [k for k, m in zip(keys, moved, strict=True) if not m], at[~moved]
+            units.put(at, *self._encode_new(kind, keys))
+            if kind in (_WORD, _FIRST):
+                at = units.find(kind, numbers.new)
+                units.white_first[at] = [not k or k[0].isspace() for k in numbers.new]
+                units.white_last[at] = [not k or k[-1].isspace() for k in numbers.new]
+            numbers.new = []
+
+    def whole(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """As the library itself encodes them."""
+        return [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
+
+    def encode(self, texts: Sequence[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
-        if len(self.words) > self.cache_words:
-            self._forget()
-        number = self.words.__getitem__
-        units = []
-        for t in texts:
-            words = (t or "").split(" ")
-            words[0] = (words[0],)
-            units.append(np.fromiter(map(number, words), np.int64, len(words)))
-        self._learn()
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        flat = np.concatenate(units) if units else np.zeros(0, np.int64)
-        counts = self.count[flat]
-        ids = self.pool[np.repeat(self.begin[flat], counts) + ranges(counts)]
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if self.units.size > self.cache_units:
+            self.older, self.units = self.units, _Units()
+        units = self.units
+        column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string()).fill_null("")
+        parted = pc.split_pattern(column, " ")
+        sizes = pc.list_value_length(parted).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(sizes)
-        per_text = np.add.reduceat(counts, ends - sizes) if len(flat) else np.zeros(len(units), np.int64)
-        if self.keeps_blanks and len(flat):
-            beside = self.white_last[flat[:-1]] & self.white_first[flat[1:]]
+        all_words = parted.flatten()
+        coded = all_words.dictionary_encode()
+        words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # Of each distinct word: letters and the marks behind them, or a unit of its own.
+        cores, tails = pc.utf8_rtrim(words, _TAIL), pc.utf8_ltrim(words, _LETTERS)
+        plain = pc.and_(pc.match_substring_regex(cores, _PLAIN), pc.less_equal(pc.binary_length(tails), _LONG_TAIL))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        front, behind = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for kind, strings, into, rows in ((_CORE, cores, front, is_plain), (_BEHIND, tails, behind, is_plain), (_WORD, words, front, ~is_plain)):
+            some = strings.filter(pa.array(rows)).dictionary_encode()
+            found = units.find(kind, some.dictionary.to_pylist())
+            if kind == _BEHIND:
+                found[[not len(x) for x in some.dictionary.to_pylist()]] = 0
+            into[rows] = found[some.indices.to_numpy()]
+        both = np.empty(2 * len(at), np.int64)
+        both[::2], both[1::2] = front[at], behind[at]
+        begin = ends - sizes
+        both[2 * begin] = units.find(_FIRST, all_words.take(pa.array(begin)).to_pylist())
+        both[2 * begin + 1] = 0
+        self._learn()
+        ids, counts = units.ids(both)
+        per_text = np.add.reduceat(counts, 2 * begin)
+        odd = np.zeros(0, np.int64)
+        if self.special:
+            odd = np.flatnonzero(pc.match_substring_regex(column, self.special, ignore_case=True).to_numpy(zero_copy_only=False))
+        if self.keeps_blanks:
+            beside = units.white_last[both[:-2:2]] & units.white_first[both[2::2]]
             beside[ends[:-1] - 1] = False
-            odd = np.unique(np.searchsorted(ends, np.flatnonzero(beside), side="right"))
-            if len(odd):
-                parts = np.split(ids, np.cumsum(per_text)[:-1])
-                for i, own in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
-                    parts[i], per_text[i] = own, len(own)
-                ids = np.concatenate(parts)
+            odd = np.union1d(odd, np.searchsorted(ends, np.flatnonzero(beside), side="right")).astype(np.int64)
+        if len(odd):
+            parts = np.split(ids, np.cumsum(per_text)[:-1])
+            for i, own in zip(odd, self.whole(column.take(pa.array(odd)).to_pylist()), strict=True):
+                parts[i], per_text[i] = own, len(own)
+            ids = np.concatenate(parts)
         return ids, per_text
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encoder_for(path: str) -> WordEncoder:
+def encoder_for(path: str, special_as_text: bool = False) -> WordEncoder:
     """One encoder for each tokenizer and Python worker, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    key = path, special_as_text
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, special_as_text)
+    return _encoders[key]
