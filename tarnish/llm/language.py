@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnish.llm.common import chunks, id_and_text, remainder
-from tarnish.llm.tokens import _Numbered
 
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -38,6 +37,19 @@ MAX_WORD = 64
 _LETTERS = regex.compile(r"\p{L}+")
 
 
+class _Numbered(dict):
+    """Numbers words as they come; ``new`` holds those not looked at yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 def words_of(token: str) -> list[str]:
     return [w[i : i + MAX_WORD] for w in _LETTERS.findall(token.lower()) for i in range(0, len(w), MAX_WORD)]
 

@@ -13,6 +13,7 @@ from tarnish.llm.common import load, remainder
 from tarnish.llm.decontaminate import find_leaks
 from tarnish.llm.host_rules import HOST_RULES_SQL, host_rules
 from tarnish.llm.language import FOLDS, HELD_OUT, predict_language, train_language
+from tarnish.llm.lines import LINES_SQL, drop_repeated_lines
 from tarnish.llm.packing import pack
 from tarnish.llm.quality import held_out, score_quality, train_quality
 from tarnish.llm.quotes import link_quotes
@@ -111,3 +112,12 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(load(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeated_lines(load(spark, sf_dir, "documents"), min_docs=10)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_line_dedup"] = LINES_SQL
