@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnish.functions.storage import new_path
+from tarnish.llm.alignment import align_tokens
 from tarnish.llm.common import load, remainder
 from tarnish.llm.decontaminate import find_leaks
 from tarnish.llm.host_rules import HOST_RULES_SQL, host_rules
@@ -21,6 +22,7 @@ from tarnish.llm.repeats import remove_repeats
 from tarnish.llm.secret_scan import BASE_KINDS, scan_secrets
 from tarnish.llm.simhash import near_copies
 from tarnish.llm.token_files import read_token_files, write_token_files
+from tarnish.llm.turns import repair_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,6 +116,18 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(load(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = align_tokens(load(spark, sf_dir, "documents"), a, b, groups="sha256")
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 @query
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_lines(load(spark, sf_dir, "documents"), min_docs=10)
