@@ -100,6 +100,11 @@ class StagedDraws:
         name = self._columns.setdefault(tags, f"_draw{len(self._columns)}")
         return F.col(name)
 
+    def normal(self, name: str) -> Column:
+        """A standard normal draw."""
+        radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - self.uniform(name, "radius")))
+        return radius * F.cos(F.lit(2 * math.pi) * self.uniform(name, "angle"))
+
     def choice(self, n: int, *tags: object) -> Column:
         return F.floor(self.uniform(*tags) * F.lit(float(n))).cast("int")
 

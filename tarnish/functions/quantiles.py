@@ -12,22 +12,28 @@ With groups the places are columns of a table with one row for each group, joine
 back for the next pass, so there may be as many groups as rows, and one may hold
 most of them: all aggregates combine before the shuffle.
 
-Values are compared as doubles: integers beyond 2^53 and long decimals are rounded first.
+Without groups, whole numbers and decimals are compared as they are; with groups, as doubles.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Callable, Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnish.functions.storage import through_table
 
 #: Values of a sketch that a pass chooses from, and its accuracy.
 GRID = 128
 ACCURACY = 4096
+#: The same for a column without groups, whose sketch is one value on the driver.
+FINE_GRID = 512
+FINE_ACCURACY = 8192
 #: Rows between two values from which on they are sorted at once. Changes no result.
 GATHER_ROWS = 65_536
 
@@ -158,12 +164,22 @@ def _as_doubles(values: Mapping[str, Column]) -> dict[str, Column]:
     return {name: F.nanvl(c.cast("double"), F.lit(None).cast("double")) for name, c in values.items()}
 
 
+def _as_numbers(df: DataFrame, values: Mapping[str, Column]) -> dict[str, Column]:
+    """Whole numbers and decimals as they are, all else as doubles without NaN."""
+    types = df.select(*(c.alias(f"_v{i}") for i, c in enumerate(values.values()))).schema.fields
+    exact = [isinstance(f.dataType, T.IntegralType | T.DecimalType) for f in types]
+    return {name: c if e else d for (name, c), d, e in zip(values.items(), _as_doubles(values).values(), exact, strict=True)}
+
+
 def group_quantiles(
     df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float], by: Sequence[str], gather_rows: int = GATHER_ROWS
 ) -> DataFrame:
     """One row for each group: its columns and, named as in ``values``, an array of quantiles (NULL without values)."""
-    search = _Search(df, _as_doubles(values), by, gather_rows)
     shares = list(probabilities)
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= gather_rows:
+        return _gathered_groups(df, values, shares, by)
+    search = _Search(df, _as_doubles(values), by, gather_rows)
 
     def ranks(_: int, n: Column) -> list[Column]:
         return [r for low, _ in _rank_columns(n, shares) for r in (low, F.least(low + 1, F.greatest(n - 1, F.lit(0))))]
@@ -172,88 +188,167 @@ def group_quantiles(
     columns = []
     for i, name in enumerate(values):
         n = F.col(f"n{i}")
-        out = []
-        for k, (_, share) in enumerate(_rank_columns(n, shares)):
-            j = 2 * (i * len(shares) + k)
-            low, high = F.col(f"found{j}"), F.col(f"found{j + 1}")
-            # Two equal values are one, infinite ones too; nothing is added for a whole rank.
-            infinite = F.lit(float("inf"))
-            whole = (share == 0) | (low == high) | (low == -infinite)
-            out.append(F.when(whole, low).when(high == infinite, high).otherwise(low + (high - low) * share))
+        pairs = [(F.col(f"found{2 * (i * len(shares) + k)}"), F.col(f"found{2 * (i * len(shares) + k) + 1}")) for k in range(len(shares))]
+        out = [_interpolated(low, high, share) for (low, high), (_, share) in zip(pairs, _rank_columns(n, shares), strict=True)]
         columns.append(F.when(n > 0, F.array(*out)).alias(name))
     return found.select(*(F.col(k).alias(b) for k, b in zip(search.keys, by, strict=True)), *columns)
 
 
-def _enclose(rank: int, n: int, grid: list[float], low: float, high: float) -> tuple[float, float]:
+def _interpolated(low: Column, high: Column, share: Column) -> Column:
+    # Two equal values are one, infinite ones too; nothing is added for a whole rank.
+    infinite = F.lit(float("inf"))
+    whole = (share == 0) | (low == high) | (low == -infinite)
+    return F.when(whole, low).when(high == infinite, high).otherwise(low + (high - low) * share)
+
+
+def _gathered_groups(df: DataFrame, values: Mapping[str, Column], shares: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Groups of a bounded size, each column's values sorted in one aggregation."""
+    lists = {f"_l{i}": F.sort_array(F.collect_list(c)) for i, c in enumerate(_as_doubles(values).values())}
+    sorted_ = df.groupBy(*by).agg(*(c.alias(n) for n, c in lists.items()))
+    columns = []
+    for n, name in zip(lists, values, strict=True):
+        size = F.size(n)
+        out = [
+            _interpolated(F.get(n, low.cast("int")), F.get(n, F.least(low.cast("int") + 1, size - 1)), share)
+            for low, share in _rank_columns(size, shares)
+        ]
+        columns.append(F.when(size > 0, F.array(*out)).alias(name))
+    return sorted_.select(*by, *columns)
+
+
+class _Column:
+    """What is known of one column: values with the rows below and at them."""
+
+    def __init__(self, name: str, n: int, low, high) -> None:
+        self.name, self.n, self.low, self.high = name, n, low, high
+        self.counted: dict = {}
+        self.found: dict[int, object] = {}
+
+    def place(self, rank: int) -> tuple:
+        """(lo, hi, rows at or below lo, rows strictly between): counted values around a rank, or the value itself as both."""
+        at = sorted(self.counted)
+        i = bisect.bisect_right(at, rank, key=lambda v: self.counted[v][0]) - 1
+        lo, before = None, 0
+        if i >= 0:
+            lo = at[i]
+            below, equal = self.counted[lo]
+            before = below + equal
+            if rank < before:
+                return lo, lo, before, 0
+        hi = at[i + 1] if i + 1 < len(at) else None
+        return lo, hi, before, (self.n if hi is None else self.counted[hi][0]) - before
+
+
+def _strictly_between(c: Column, lo, hi) -> Column:
+    inside = c.isNotNull()
+    if lo is not None:
+        inside = inside & (c > F.lit(lo))
+    return inside if hi is None else inside & (c < F.lit(hi))
+
+
+def _nearby(rank: int, n: int, grid: Sequence) -> list:
     """The values of a sketch of ``n`` rows around a rank, further away than the sketch may err."""
-    place, slack = rank / n * GRID, 2.0 * GRID / ACCURACY
-    below, above = math.floor(place - slack) - 1, math.ceil(place + slack + GRID / n) + 1
-    return (grid[below] if below >= 0 else low), (grid[above] if above <= GRID else high)
+    place, slack = rank / n * FINE_GRID, 2.0 * FINE_GRID / FINE_ACCURACY
+    below, above = math.floor(place - slack) - 1, math.ceil(place + slack + FINE_GRID / n) + 1
+    return [grid[i] for i in (below, above) if 0 <= i <= FINE_GRID]
+
+
+def _fine_grid(value: Column) -> Column:
+    return F.percentile_approx(value, [i / FINE_GRID for i in range(FINE_GRID + 1)], FINE_ACCURACY)
 
 
 def order_statistics(
     df: DataFrame, values: Mapping[str, Column], wanted: Callable[[str, int], Sequence[int]], gather_rows: int = GATHER_ROWS
-) -> dict[str, tuple[int, dict[int, float]]]:
-    """For each column of doubles, how many values it has and those at the ranks that ``wanted(name, n)`` gives.
-
-    The places are a few numbers for each rank and stay on the driver; each pass is one aggregation.
+) -> dict[str, tuple[int, dict[int, object]]]:
+    """For each column, how many values it has and those at the ranks that ``wanted(name, n)`` gives.
+
+    A sketch of each column comes with its extent; the values it names around the
+    ranks are counted in one plain aggregation, and what lies between them is
+    gathered once for each column. Where too much lies between, that is sketched and
+    counted again. The counts are exact whatever the sketch says, in the column's
+    own type. The places are a few numbers for each rank and stay on the driver.
     """
     columns = {f"_v{i}": name for i, name in enumerate(values)}
     rows = df.select(*(values[name].alias(v) for v, name in columns.items()))
-    extent = rows.agg(*(e for v in columns for e in (F.count(v).alias(f"n{v}"), F.min(v).alias(f"a{v}"), F.max(v).alias(f"b{v}")))).first()
-    found: dict[str, dict[int, float]] = {v: {} for v in columns}
-    # (column, rank): the values it lies between, and how many rows do at most.
-    open_: dict[tuple[str, int], tuple[float, float, int]] = {}
+    extent = rows.agg(
+        *(e for v in columns for e in (F.count(v).alias(f"n{v}"), F.min(v).alias(f"a{v}"), F.max(v).alias(f"b{v}"), _fine_grid(F.col(v)).alias(f"g{v}")))
+    ).first()
+    known = {v: _Column(v, extent[f"n{v}"], extent[f"a{v}"], extent[f"b{v}"]) for v in columns}
+    open_: dict[str, set[int]] = {}
     for v, name in columns.items():
-        n = extent[f"n{v}"]
-        for r in set(wanted(name, n)) if n else ():
-            if r <= 0 or r >= n - 1:
-                found[v][r] = extent[f"a{v}"] if r <= 0 else extent[f"b{v}"]
+        c = known[v]
+        for r in set(wanted(name, c.n)) if c.n else ():
+            if r <= 0 or r >= c.n - 1:
+                c.found[r] = c.low if r <= 0 else c.high
             else:
-                open_[v, r] = (-math.inf, math.inf, n)
+                open_.setdefault(v, set()).add(r)
+    sketches = {(v, None, None): (c.n, extent[f"g{v}"], c.low, c.high) for v, c in known.items()}
     while open_:
-        gather = max(most for _, _, most in open_.values()) <= gather_rows
-        places = list(dict.fromkeys((v, lo, hi) for (v, _), (lo, hi, _) in open_.items()))
-        aggregates = []
-        for j, (v, lo, hi) in enumerate(places):
-            c = F.col(v)
-            between = F.when((c > F.lit(lo)) & (c < F.lit(hi)), c)
-            inner = F.sort_array(F.collect_list(between)) if gather else F.struct(_grid(between).alias("g"), F.min(between).alias("a"), F.max(between).alias("b"))
-            aggregates += [
-                F.count_if(c < F.lit(lo)).alias(f"below{j}"), F.count_if(c == F.lit(lo)).alias(f"at{j}"),
-                F.count(between).alias(f"now{j}"), F.count_if(c == F.lit(hi)).alias(f"top{j}"), inner.alias(f"inner{j}"),
-            ]
-        counted, picks = rows.agg(*aggregates), []
-        for k, ((v, r), (lo, hi, _)) in enumerate(open_.items()):
-            j = places.index((v, lo, hi))
-            own = F.lit(r) - F.col(f"below{j}") - F.col(f"at{j}")
-            # Of sorted rows only the wanted one leaves the job.
-            inner = F.get(f"inner{j}", F.greatest(own, F.lit(0)).cast("int")) if gather else F.col(f"inner{j}")
-            picks += [own.alias(f"own{k}"), F.col(f"below{j}").alias(f"below{k}_"), F.col(f"now{j}").alias(f"now{k}_"), F.col(f"top{j}").alias(f"top{k}_"), inner.alias(f"pick{k}")]
-        row, following = counted.select(*picks).first(), {}
-        for k, ((v, r), (lo, hi, _)) in enumerate(open_.items()):
-            own, now, inner = row[f"own{k}"], row[f"now{k}_"], row[f"pick{k}"]
-            if r < row[f"below{k}_"] or own >= now + row[f"top{k}_"]:
-                # Should a sketch err by more than it promises, the search starts again from the ends.
-                following[v, r] = (-math.inf, math.inf, extent[f"n{v}"])
-            elif own < 0:
-                found[v][r] = lo
-            elif own >= now:
-                found[v][r] = hi
-            elif gather:
-                found[v][r] = inner
-            elif own in (0, now - 1):
-                found[v][r] = inner["a"] if own == 0 else inner["b"]
-            else:
-                following[v, r] = (*_enclose(own, now, inner["g"], inner["a"], inner["b"]), math.ceil(now * 6 / GRID) + 8)
-        open_ = following
-    return {name: (extent[f"n{v}"], found[v]) for v, name in columns.items()}
-
-
-def _interpolate(low: float, high: float, share: float) -> float:
+        spans = {(v, *known[v].place(r)): None for v, ranks in open_.items() for r in ranks}
+        if max(inside for *_, inside in spans) <= gather_rows:
+            _gather(rows, known, open_, list(spans))
+            break
+        fresh: dict[str, set] = {}
+        for v, ranks in open_.items():
+            for r in ranks:
+                lo, hi, before, inside = known[v].place(r)
+                if inside > gather_rows:
+                    n, grid, low, high = sketches[v, lo, hi]
+                    near = [g for g in _nearby(r - before, n, grid) if (lo is None or g > lo) and (hi is None or g < hi)]
+                    # The least and the greatest row between end any span of few values.
+                    fresh.setdefault(v, set()).update([*near, low, high])
+        asked = [(v, b) for v, bounds in fresh.items() for b in bounds if b not in known[v].counted]
+        counts = rows.agg(*(e for i, (v, b) in enumerate(asked) for e in (F.count_if(F.col(v) < F.lit(b)).alias(f"b{i}"), F.count_if(F.col(v) == F.lit(b)).alias(f"e{i}")))).first()
+        for i, (v, b) in enumerate(asked):
+            known[v].counted[b] = counts[f"b{i}"], counts[f"e{i}"]
+        large = []
+        for v in list(open_):
+            for r in list(open_[v]):
+                lo, hi, _, inside = known[v].place(r)
+                if lo is not None and lo == hi:
+                    known[v].found[r] = lo
+                    open_[v].discard(r)
+                elif inside > gather_rows:
+                    large.append((v, lo, hi))
+            if not open_[v]:
+                del open_[v]
+        if large:
+            large = list(dict.fromkeys(large))
+            between = [F.when(_strictly_between(F.col(v), lo, hi), F.col(v)) for v, lo, hi in large]
+            row = rows.agg(*(e for i, x in enumerate(between) for e in (F.count(x).alias(f"n{i}"), _fine_grid(x).alias(f"g{i}"), F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}")))).first()
+            sketches = {span: (row[f"n{i}"], row[f"g{i}"], row[f"a{i}"], row[f"b{i}"]) for i, span in enumerate(large)}
+    return {name: (known[v].n, known[v].found) for v, name in columns.items()}
+
+
+def _gather(rows: DataFrame, known: Mapping[str, _Column], open_: Mapping[str, set[int]], spans: Sequence[tuple]) -> None:
+    """The rows of all spans of a column in one sorted list, from which only the wanted ones leave the job."""
+    lists, picks, order = [], [], []
+    for v, ranks in open_.items():
+        own = sorted((s for s in spans if s[0] == v), key=lambda s: s[3])
+        inside = F.lit(False)
+        for _, lo, hi, _, _ in own:
+            inside = inside | _strictly_between(F.col(v), lo, hi)
+        lists.append(F.sort_array(F.collect_list(F.when(inside, F.col(v)))).alias(v))
+        # Where each span begins in the list.
+        begin = {s[1:3]: sum(t[4] for t in own[:i]) for i, s in enumerate(own)}
+        for r in sorted(ranks):
+            lo, hi, before, _ = known[v].place(r)
+            picks.append(F.get(v, F.lit(begin[lo, hi] + r - before)).alias(f"p{len(picks)}"))
+            order.append((v, r))
+    row = rows.agg(*lists).select(*picks).first()
+    for i, (v, r) in enumerate(order):
+        known[v].found[r] = row[f"p{i}"]
+
+
+def _interpolate(low, high, share: float):
+    """A double, or the exact value where a double would not hold it."""
     if share == 0 or low == high or low == -math.inf:
-        return low
-    return high if high == math.inf else low + (high - low) * share
+        return float(low) if float(low) == low else low
+    if high == math.inf:
+        return math.inf
+    if isinstance(low, float):
+        return low + (high - low) * share
+    return float(Fraction(low) + Fraction(high - low) * Fraction(share))
 
 
 def exact_quantiles(
@@ -273,7 +368,7 @@ def exact_quantiles(
         return {(): {}}
     if not by:
         places = lambda n: [(math.floor(p * (n - 1)), p * (n - 1) - math.floor(p * (n - 1))) for p in probabilities]
-        found = order_statistics(df, _as_doubles(values), lambda _, n: [r for low, share in places(n) for r in (low, low + (share > 0))], gather_rows)
+        found = order_statistics(df, _as_numbers(df, values), lambda _, n: [r for low, share in places(n) for r in (low, low + (share > 0))], gather_rows)
         return {
             (): {
                 name: [_interpolate(at[low], at[low + (share > 0)], share) for low, share in places(n)] if n else [None] * len(probabilities)

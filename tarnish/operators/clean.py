@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tarnish.functions.families import numeric_columns, text_columns, type_of
 from tarnish.functions.text import TEXT_STEPS
-from tarnish.operators import dedupe, fill, outliers, types
+from tarnish.operators import dedupe, fill, neighbours, outliers, types
 
 
 class Fitted(Protocol):
@@ -183,6 +183,31 @@ class FillAlong:
         )
 
 
+@dataclass(frozen=True)
+class FittedNearest(_Described):
+    """Neighbours are rows of the same table, so it fits no stream."""
+
+    columns: Sequence[str]
+    features: Sequence[str]
+    k: int = 5
+    operation = "handle_missing_values"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return neighbours.impute_nearest(df, self.columns, self.features, self.k)
+
+
+@dataclass(frozen=True)
+class FillNearest:
+    """Fill missing numbers and texts from the ``k`` rows with the nearest features."""
+
+    columns: Sequence[str]
+    features: Sequence[str]
+    k: int = 5
+
+    def fit(self, df: DataFrame) -> FittedNearest:
+        return FittedNearest(fill.columns_with_nulls(df, list(self.columns)), list(self.features), self.k)
+
+
 @dataclass(frozen=True)
 class FittedSentinels(_Described):
     columns: Sequence[str]
@@ -261,4 +286,4 @@ class RemoveDuplicates:
         return FittedDuplicates(self.keep, self.subset, self.order_by)
 
 
-Operator = CleanText | ConvertTypes | Impute | FillAlong | NullifySentinels | RemoveOutliers | RemoveDuplicates
+Operator = CleanText | ConvertTypes | Impute | FillAlong | FillNearest | NullifySentinels | RemoveOutliers | RemoveDuplicates

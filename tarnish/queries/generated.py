@@ -72,6 +72,64 @@ SPECS = {
 }
 
 
+# Each kind of relationship, and chains of them: age, income and savings are drawn together, the tier hangs
+# on the age, the rebate on the tier, and sums hang on what was drawn before them.
+RELATED = TableSpec(
+    "related",
+    [
+        NumericColumn("total", decimals=2),
+        NumericColumn("age", integer=True, mean=42, std=13, min_value=18, max_value=90),
+        NumericColumn("income", distribution="exponential", mean=30000, min_value=12000, max_value=900000),
+        NumericColumn("savings", distribution="uniform", min_value=0, max_value=50000),
+        CategoricalColumn("tier", ["basic", "silver", "gold"], [0.7, 0.2, 0.1]),
+        NumericColumn("rebate", integer=True, distribution="uniform", min_value=0, max_value=2),
+        NumericColumn("visits", integer=True, distribution="poisson", mean=4),
+        NumericColumn("quantity", integer=True, distribution="uniform", min_value=1, max_value=50),
+        NumericColumn("price", distribution="uniform", min_value=1, max_value=99),
+        CategoricalColumn("size", ["small", "middle", "large"]),
+        # Days, as the engines' exponentials differ in the last bit, which would show in microseconds.
+        DatetimeColumn("opened", "2020-01-01", "2024-12-31"),
+        DatetimeColumn("closed", "2025-01-01", "2025-06-30"),
+    ],
+    relationships=[
+        {"type": "correlation", "source_columns": ["age"], "target_column": "income", "parameters": {"strength": 0.6}},
+        {"type": "correlation", "source_columns": ["income"], "target_column": "savings", "parameters": {"strength": 0.5}},
+        {"type": "correlation", "source_columns": ["age"], "target_column": "savings", "parameters": {"strength": 0.4}},
+        {"type": "correlation", "source_columns": ["visits"], "target_column": "opened", "parameters": {"strength": -0.8}},
+        {
+            "type": "conditional",
+            "source_columns": ["age"],
+            "target_column": "tier",
+            "parameters": {"cases": [{"when": "age >= 65", "values": ["silver", "gold"], "frequencies": [0.4, 0.6]}, {"when": "age < 21", "value": "basic"}]},
+        },
+        {
+            "type": "conditional",
+            "source_columns": ["tier"],
+            "target_column": "rebate",
+            "parameters": {"cases": [{"if_value": "gold", "min_value": 10, "max_value": 20}, {"if_value": ["silver"], "min_value": 3, "max_value": 9}]},
+        },
+        {"type": "conditional", "source_columns": ["tier"], "target_column": "closed", "parameters": {"cases": [{"if_value": ["gold", "silver"], "null": True}]}},
+        {
+            "type": "derived",
+            "source_columns": ["quantity", "price", "rebate"],
+            "target_column": "total",
+            "parameters": {"expression": "quantity * price * (100 - rebate) / 100.0"},
+        },
+        {
+            "type": "derived",
+            "source_columns": ["total"],
+            "target_column": "size",
+            "parameters": {"expression": "CASE WHEN total < 300 THEN 'small' WHEN total < 1500 THEN 'middle' ELSE 'large' END"},
+        },
+    ],
+)
+
+
+@query("gen_related", sql.related(RELATED, "o_orderkey", "orders"))
+def gen_related(spark, d):
+    return generate_columns(table(spark, d, "orders"), RELATED, draws("o_orderkey"))
+
+
 def _register(name, columns):
     spec = TableSpec(name, columns)
 

@@ -385,11 +385,11 @@ def sample_with_replacement(spark, d):
 
 @query(
     "sample_with_replacement_often",
-    f"SELECT region.*, unnest(range(1, 1 + {sql.counted(sql.u('r_regionkey', 'sample', 'copies'), *sql.poisson_steps(800.0))}))"
-    "::INTEGER AS draw FROM region",
+    f"SELECT supplier.*, unnest(range(1, 1 + {sql.counted(sql.u('s_suppkey', 'sample', 'copies'), *sql.poisson_steps(800.0))}))"
+    "::INTEGER AS draw FROM supplier",
 )
 def sample_with_replacement_often(spark, d):
-    return sampling.sample_with_replacement(table(spark, d, "region"), 800.0, draws("r_regionkey"))
+    return sampling.sample_with_replacement(table(spark, d, "supplier"), 800.0, draws("s_suppkey"))
 
 
 @query(

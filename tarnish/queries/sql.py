@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
@@ -9,7 +10,8 @@ from tarnish.functions.text import DIGIT_RUN, NOT_ALPHANUMERIC, SPECIAL_CHARACTE
 from tarnish.operators.inject import DEFAULT_RATES, OUTLIER_MARGIN
 from tarnish.queries.registry import SEED
 from tarnish.sources.generate import binomial_steps, poisson_steps
-from tarnish.sources.spec import CategoricalColumn, DatetimeColumn, NumericColumn, TableSpec
+from tarnish.sources.relationships import BELOW_ONE, TAIL_SCALE, TAIL_TERMS, cases_of, plan_of
+from tarnish.sources.spec import CategoricalColumn, ColumnSpec, DatetimeColumn, NumericColumn, TableSpec
 
 
 def quoted(text: str) -> str:
@@ -147,9 +149,10 @@ def _steps(draw: str, bounds: Sequence[float], values: Sequence[str] | None = No
     return f"(CASE {steps} ELSE {values[len(bounds)]} END)"
 
 
-def _numeric(c: NumericColumn, key: str) -> str:
+def _numeric(c: NumericColumn, key: str, share: str | None = None, normal: str | None = None) -> str:
+    """``share`` and ``normal`` name the columns of a correlated draw."""
     low = 0.0 if c.min_value is None else float(c.min_value)
-    draw = u(key, c.name, "value")
+    draw = share or u(key, c.name, "value")
     if c.distribution == "uniform":
         high = 1.0 if c.max_value is None else float(c.max_value)
         x = f"({low!r}::DOUBLE + {high - low!r}::DOUBLE * {draw})"
@@ -164,8 +167,7 @@ def _numeric(c: NumericColumn, key: str) -> str:
     else:
         mean = 0.0 if c.mean is None else float(c.mean)
         std = 1.0 if c.std is None else float(c.std)
-        radius, angle = u(key, c.name, "radius"), u(key, c.name, "angle")
-        x = f"({mean!r}::DOUBLE + {std!r}::DOUBLE * sqrt(-2.0 * ln(1.0 - {radius})) * cos(2 * pi() * {angle}))"
+        x = f"({mean!r}::DOUBLE + {std!r}::DOUBLE * {normal or standard_normal(key, c.name)})"
     if c.min_value is not None:
         x = f"greatest({x}, {float(c.min_value)!r}::DOUBLE)"
     if c.max_value is not None:
@@ -177,8 +179,12 @@ def _numeric(c: NumericColumn, key: str) -> str:
     return f"(round_even({x} * {10**c.decimals}, 0) / {10**c.decimals})"
 
 
-def _datetime(c: DatetimeColumn, key: str) -> str:
-    draw = u(key, c.name, "value")
+def standard_normal(key: str, name: str) -> str:
+    return f"sqrt(-2.0 * ln(1.0 - {u(key, name, 'radius')})) * cos(2 * pi() * {u(key, name, 'angle')})"
+
+
+def _datetime(c: DatetimeColumn, key: str, share: str | None = None, normal: str | None = None) -> str:
+    draw = share or u(key, c.name, "value")
     if c.weekdays_only:
         first = c.start
         while first.weekday() >= 5:
@@ -202,23 +208,74 @@ def _datetime(c: DatetimeColumn, key: str) -> str:
     return at
 
 
-def _categorical(c: CategoricalColumn, key: str) -> str:
+def _categorical(c: CategoricalColumn, key: str, share: str | None = None, normal: str | None = None) -> str:
     bounds, total = [], 0.0
     for w in c.weights[:-1]:
         total += w
         bounds.append(total)
-    return _steps(u(key, c.name, "value"), bounds, [quoted(v) for v in c.values])
+    return _steps(share or u(key, c.name, "value"), bounds, [quoted(v) for v in c.values])
 
 
 def generated(spec: TableSpec, key: str, source: str) -> str:
     """The SQL of ``generate_columns``."""
-    parts = [key]
-    for c in spec.columns:
-        build = _numeric if isinstance(c, NumericColumn) else _datetime if isinstance(c, DatetimeColumn) else _categorical
-        parts.append(f"{build(c, key)} AS {c.name}")
+    parts = [key, *(f"{_drawn(c, key)} AS {c.name}" for c in spec.columns)]
     return f"SELECT {', '.join(parts)} FROM {source}"
 
 
+def _drawn(c: ColumnSpec, key: str, share: str | None = None, normal: str | None = None) -> str:
+    build = _numeric if isinstance(c, NumericColumn) else _datetime if isinstance(c, DatetimeColumn) else _categorical
+    return build(c, key, share, normal)
+
+
+def _share_below(z: str) -> str:
+    t, terms = f"(1.0 / (1.0 + {TAIL_SCALE} * abs({z})))", repr(TAIL_TERMS[-1])
+    for b in reversed(TAIL_TERMS[:-1]):
+        terms = f"({b!r}::DOUBLE + {t} * {terms})"
+    tail = f"(exp({z} * {z} / -2.0) / {math.sqrt(2 * math.pi)!r}::DOUBLE * {t} * {terms})"
+    return f"CASE WHEN {z} < 0 THEN {tail} ELSE least(1.0 - {tail}, {BELOW_ONE!r}::DOUBLE) END"
+
+
+def _derived(c: ColumnSpec, expression: str) -> str:
+    if not isinstance(c, NumericColumn):
+        return expression
+    x = f"CAST({expression} AS DOUBLE)"
+    for limit, bound in ((c.min_value, "greatest"), (c.max_value, "least")):
+        if limit is not None:
+            x = f"CASE WHEN ({expression}) IS NOT NULL THEN {bound}({x}, {float(limit)!r}::DOUBLE) END"
+    return f"CAST(round_even({x}, 0) AS BIGINT)" if c.integer else f"(round_even({x} * {10**c.decimals}, 0) / {10**c.decimals})"
+
+
+def related(spec: TableSpec, key: str, source: str) -> str:
+    """The SQL of ``generate_related``: a nested query for each projection."""
+    plan = plan_of(spec)
+    parts, correlated = [key], []
+    for names, triangle in plan.groups:
+        correlated += names
+        for name, row in zip(names, triangle):
+            mixed = " + ".join(f"{w!r}::DOUBLE * {standard_normal(key, e)}" for w, e in zip(row, names) if w)
+            parts.append(f"{mixed} AS _normal_{name}")
+    text = f"SELECT {', '.join(parts)} FROM {source}"
+    if correlated:
+        text = f"SELECT *, {', '.join(f'{_share_below(f"_normal_{n}")} AS _share_{n}' for n in correlated)} FROM ({text})"
+    for level in plan.levels:
+        made = []
+        for name in level:
+            c, relationship = spec.column(name), plan.made_by.get(name)
+            linked = (f"_share_{name}", f"_normal_{name}") if name in correlated else (None, None)
+            if relationship is None:
+                made.append(f"{_drawn(c, key, *linked)} AS {name}")
+            elif relationship.type == "derived":
+                made.append(f"{_derived(c, relationship.parameters['expression'])} AS {name}")
+            else:
+                cases = " ".join(
+                    f"WHEN {case.condition} THEN {_drawn(case.column, key, *linked) if case.column else 'NULL' if case.constant is None else quoted(case.constant) if isinstance(case.constant, str) else case.constant}"
+                    for case in cases_of(relationship, c)
+                )
+                made.append(f"CASE {cases} ELSE {_drawn(c, key, *linked)} END AS {name}")
+        text = f"SELECT *, {', '.join(made)} FROM ({text})"
+    return f"SELECT {', '.join([key, *(c.name for c in spec.columns)])} FROM ({text})"
+
+
 def replaced(source: str, columns: Sequence[str], changed: Mapping[str, str]) -> str:
     parts = [f"{changed[c]} AS {c}" if c in changed else c for c in columns]
     return f"SELECT {', '.join(parts)} FROM {source}"

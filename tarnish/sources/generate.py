@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.draws import Draws, StagedDraws
 from tarnish.functions.families import ROW_ID, data_columns
+from tarnish.sources.relationships import generate_related
 from tarnish.sources.spec import CategoricalColumn, ColumnSpec, DatetimeColumn, NumericColumn, TableSpec
 
 #: Steps a lookup may have as nested conditions; longer ones are nested by blocks.
@@ -103,15 +104,10 @@ def drawn_count(u: Column, first: int, bounds: Sequence[float]) -> Column:
     return counted + F.lit(float(first)) if first else counted
 
 
-def _standard_normal(draws: StagedDraws, name: str) -> Column:
-    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - draws.uniform(name, "radius")))
-    return radius * F.cos(F.lit(2 * math.pi) * draws.uniform(name, "angle"))
-
-
 def _normal(c: NumericColumn, draws: StagedDraws) -> Column:
     mean = 0.0 if c.mean is None else float(c.mean)
     std = 1.0 if c.std is None else float(c.std)
-    return F.lit(mean) + F.lit(std) * _standard_normal(draws, c.name)
+    return F.lit(mean) + F.lit(std) * draws.normal(c.name)
 
 
 def _uniform(c: NumericColumn, draws: StagedDraws) -> Column:
@@ -234,7 +230,12 @@ def column_expression(c: ColumnSpec, draws: StagedDraws) -> Column:
 
 
 def generate_columns(df: DataFrame, spec: TableSpec, draws: Draws, keep: Sequence[str] | None = None) -> DataFrame:
-    """The spec's columns for every row of ``df``, after its ``keep`` columns (default: the key)."""
+    """The spec's columns for every row of ``df``, after its ``keep`` columns (default: the key).
+
+    Relationships between the columns are applied; without them all is one projection.
+    """
+    if spec.relationships:
+        return generate_related(df, spec, draws, keep)
     kept = list(draws.key if keep is None else keep)
     staged = draws.staged()
     made = [column_expression(c, staged).alias(c.name) for c in spec.columns]

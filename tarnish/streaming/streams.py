@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tarnish.functions.families import text_columns, type_of
 from tarnish.functions.storage import new_path
 from tarnish.functions.text import strip
-from tarnish.operators.clean import Fitted, FittedDuplicates, FittedOrderedFill
+from tarnish.operators.clean import Fitted, FittedDuplicates, FittedNearest, FittedOrderedFill
 from tarnish.plans.cleaning import transform_all
 
 EVENT_TIME = "_event_time"
@@ -26,15 +26,15 @@ EVENT_TIME = "_event_time"
 def clean_stream(stream: DataFrame, fitted: Sequence[Fitted]) -> DataFrame:
     """Apply fitted operators row by row."""
     for operator in fitted:
-        if isinstance(operator, (FittedDuplicates, FittedOrderedFill)):
-            raise ValueError(f"{operator.operation} needs more than one row at a time; see dedupe_stream")
+        if isinstance(operator, (FittedDuplicates, FittedNearest, FittedOrderedFill)):
+            raise ValueError(f"{operator.operation} needs more than one row at a time; see dedupe_stream and forward_fill_stream")
     return transform_all(stream, fitted)
 
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def _instant(stream: DataFrame, time: str) -> Column:
+def instant(stream: DataFrame, time: str) -> Column:
     """A zoned time for watermarks; a zoneless one counts from 1970, so no session zone moves it."""
     if isinstance(type_of(stream, time), T.TimestampNTZType):
         return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(time)))
@@ -43,7 +43,7 @@ def _instant(stream: DataFrame, time: str) -> Column:
 
 def _event_time(stream: DataFrame, time: str, delay: str) -> DataFrame:
     # A watermark needs the zoned type; the column itself stays as it is.
-    return stream.withColumn(EVENT_TIME, _instant(stream, time)).withWatermark(EVENT_TIME, delay)
+    return stream.withColumn(EVENT_TIME, instant(stream, time)).withWatermark(EVENT_TIME, delay)
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
