@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,15 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.storage import through_table
 from tarnish.llm.common import chunks, id_and_text, ranges, utf8
-from tarnish.llm.tokens import ENCODE_CHARS, _Units, encoder_for
+from tarnish.llm.tokens import MARKS, WordEncoder, _Units, code_words, crosses_to_marks
 
 #: Characters of text whose pairs are numbered together.
 BLOCK_CHARS = 1 << 24
+#: Characters of text that are aligned at once, and units of text that a task remembers; they bound its memory.
+ALIGN_CHARS = 1 << 20
+CACHE_UNITS = 150_000
 #: Links of a group beyond which equal ids are counted before they are paired.
 WIDE_GROUP = 1 << 12
-PIECE_CACHE = 300_000
 _SPACE = "▁"
 _B_BITS = 32
 
@@ -73,7 +76,7 @@ class _Spelled:
 class PieceEncoder:
     """Ids of whole texts by a sentencepiece BPE model whose pieces have blanks at their beginning alone."""
 
-    def __init__(self, path: str, cache_units: int = PIECE_CACHE) -> None:
+    def __init__(self, path: str, cache_units: int = CACHE_UNITS) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -82,38 +85,44 @@ class PieceEncoder:
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) else p.replace(_SPACE, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        # Merges give pieces, so none crosses from a letter to a blank unless a piece does.
-        self.by_words = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces)
+        # Merges give pieces, so none crosses from a letter to a blank, or to a mark behind it, unless a piece does.
+        merged = [p for i, p in enumerate(pieces) if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
+        self.by_words = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) or crosses_to_marks(p) for p in merged)
+        self.before_marks = len(self.model.encode("a"))
         self.cache_units, self.units = cache_units, _Units()
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = self.model.encode(texts, num_threads=1)
         counts = np.fromiter(map(len, out), np.int64, len(out))
-        return np.fromiter((i for x in out for i in x), np.uint32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(counts.sum())), counts
+
+    def _learn(self) -> None:
+        units = self.units
+        units.grow()
+        for kind, numbers in enumerate(units.numbers):
+            keys, numbers.new = numbers.new, []
+            if keys:
+                # Marks stand behind letters, not behind a blank.
+                flat, counts = self._whole([f"a{k}" for k in keys] if kind == MARKS else keys)
+                if kind == MARKS:
+                    flat = flat[ranges(counts) >= self.before_marks]
+                    counts = counts - self.before_marks
+                units.put(units.find(kind, keys), counts, flat)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text (large_string, no nulls)."""
+        if not self.by_words:
+            return self._whole(column.to_pylist())
         if self.units.size > self.cache_units:
             self.units = _Units()
-        units = self.units
-        parted = pc.split_pattern(column, " ")
-        sizes = pc.list_value_length(parted).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = parted.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        numbers = units.find(0, words)
-        units.grow()
-        new = units.numbers[0].new
-        if new:
-            flat, counts = self._whole(new)
-            units.put(units.find(0, new), counts, flat)
-            units.numbers[0].new = []
-        at = coded.indices.to_numpy()
-        ids, counts = units.ids(numbers[at])
-        ends = np.cumsum(sizes)
-        per_text = np.add.reduceat(counts, ends - sizes)
+        both, ends, sizes, _, coded = code_words(self.units, column)
+        self._learn()
+        ids, counts = self.units.ids(both)
+        per_text = np.add.reduceat(counts, 2 * (ends - sizes))
         # Two blanks in a row make one unit with the word behind them.
-        blank = np.array([not w or _SPACE in w for w in words], bool)[at]
-        odd = np.unique(np.searchsorted(ends, np.flatnonzero(blank), side="right")) if self.by_words else np.arange(len(sizes))
+        words = coded.dictionary
+        blank = pc.or_(pc.equal(words, ""), pc.match_substring(words, _SPACE)).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(blank), side="right"))
         if len(odd):
             own, own_counts = self._whole(column.take(pa.array(odd)).to_pylist())
             parts = np.split(ids, np.cumsum(per_text)[:-1])
@@ -189,7 +198,7 @@ class _Writer:
 
 class Aligner:
     def __init__(self, a_path: str, b_path: str) -> None:
-        self.a, self.b = encoder_for(a_path, special_as_text=True), PieceEncoder(b_path)
+        self.a, self.b = WordEncoder(a_path, special_as_text=True, cache_units=CACHE_UNITS), PieceEncoder(b_path)
         vocabulary, alphabet = self.a.tokenizer.get_vocab(), byte_alphabet()
         spelled = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
@@ -251,13 +260,15 @@ class Aligner:
         order = np.argsort(key, kind="stable")
         begins = np.flatnonzero(np.diff(key[order], prepend=-1))
         key = key[order][begins]
-        found["times"] = np.add.reduceat(times[order], begins)
+        counts = np.add.reduceat(times[order], begins)
+        found["times"] = counts.astype(np.uint32) if counts.max() < 1 << 32 else counts
         found["entries"] = np.bincount(key // len(distinct), minlength=many)
-        return found | {"pairs": distinct, "index": key % len(distinct), "docs": np.bincount(key % len(distinct), minlength=len(distinct))}
+        return found | {"pairs": distinct, "index": (key % len(distinct)).astype(np.uint32), "docs": np.bincount(key % len(distinct), minlength=len(distinct))}
 
 
 def _pack(entries: np.ndarray, index: np.ndarray, times: np.ndarray) -> bytes:
     """Sorted numbers of each document as differences, byte by byte, so that they compress."""
+    index, times = index.astype(np.int64), times.astype(np.int64)
     steps = np.diff(index, prepend=0)
     begins = (np.cumsum(entries) - entries)[entries > 0]
     steps[begins] = index[begins]
@@ -336,7 +347,7 @@ def align_tokens(
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks(texts, ENCODE_CHARS // 2):
+            for a, b in chunks(texts, ALIGN_CHARS):
                 found = aligner.align(texts[a:b])
                 found["groups"] = [told(g) for g in found["groups"]]
                 held.append((ids[a:b], found))

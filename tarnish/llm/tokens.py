@@ -43,6 +43,7 @@ _TAIL = ".,!?;:#*$%&|<>@()\"-"
 _LONG_TAIL = 8
 
 _CORE, _BEHIND, _WORD, _FIRST = range(4)
+MARKS = _BEHIND
 
 
 class _Numbers(dict):
@@ -90,6 +91,37 @@ class _Units:
         return self.pool[np.repeat(self.begin[at], counts) + ranges(counts)], counts
 
 
+def crosses_to_marks(piece: str) -> bool:
+    """Whether a piece of a vocabulary holds a letter with a mark behind it."""
+    return re.search(f"[{_LETTER_CLASS}][{re.escape(_TAIL)}]", piece) is not None
+
+
+def code_words(units: _Units, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.DictionaryArray]:
+    """Two units for each blank-parted word of all texts: letters and the marks behind them, or the whole word and none.
+
+    Also where each text's words end, their numbers, and the words themselves, plain and by their distinct ones.
+    """
+    parted = pc.split_pattern(column, " ")
+    sizes = pc.list_value_length(parted).to_numpy(zero_copy_only=False).astype(np.int64)
+    all_words = parted.flatten()
+    coded = all_words.dictionary_encode()
+    words, at = coded.dictionary, coded.indices.to_numpy()
+    cores, tails = pc.utf8_rtrim(words, _TAIL), pc.utf8_ltrim(words, _LETTERS)
+    plain = pc.and_(pc.match_substring_regex(cores, _PLAIN), pc.less_equal(pc.binary_length(tails), _LONG_TAIL))
+    is_plain = plain.to_numpy(zero_copy_only=False)
+    front, behind = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for kind, strings, into, rows in ((_CORE, cores, front, is_plain), (_BEHIND, tails, behind, is_plain), (_WORD, words, front, ~is_plain)):
+        some = strings.filter(pa.array(rows)).dictionary_encode()
+        keys = some.dictionary.to_pylist()
+        found = units.find(kind, keys)
+        if kind == _BEHIND:
+            found[[not k for k in keys]] = 0
+        into[rows] = found[some.indices.to_numpy()]
+    both = np.empty(2 * len(at), np.int64)
+    both[::2], both[1::2] = front[at], behind[at]
+    return both, np.cumsum(sizes), sizes, all_words, coded
+
+
 class WordEncoder:
     def __init__(self, path: str, special_as_text: bool = False, cache_units: int = CACHE_UNITS) -> None:
         from tokenizers import Tokenizer
@@ -157,25 +189,7 @@ class WordEncoder:
             self.older, self.units = self.units, _Units()
         units = self.units
         column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string()).fill_null("")
-        parted = pc.split_pattern(column, " ")
-        sizes = pc.list_value_length(parted).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(sizes)
-        all_words = parted.flatten()
-        coded = all_words.dictionary_encode()
-        words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        # Of each distinct word: letters and the marks behind them, or a unit of its own.
-        cores, tails = pc.utf8_rtrim(words, _TAIL), pc.utf8_ltrim(words, _LETTERS)
-        plain = pc.and_(pc.match_substring_regex(cores, _PLAIN), pc.less_equal(pc.binary_length(tails), _LONG_TAIL))
-        is_plain = plain.to_numpy(zero_copy_only=False)
-        front, behind = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        for kind, strings, into, rows in ((_CORE, cores, front, is_plain), (_BEHIND, tails, behind, is_plain), (_WORD, words, front, ~is_plain)):
-            some = strings.filter(pa.array(rows)).dictionary_encode()
-            found = units.find(kind, some.dictionary.to_pylist())
-            if kind == _BEHIND:
-                found[[not len(x) for x in some.dictionary.to_pylist()]] = 0
-            into[rows] = found[some.indices.to_numpy()]
-        both = np.empty(2 * len(at), np.int64)
-        both[::2], both[1::2] = front[at], behind[at]
+        both, ends, sizes, all_words, _ = code_words(units, column)
         begin = ends - sizes
         both[2 * begin] = units.find(_FIRST, all_words.take(pa.array(begin)).to_pylist())
         both[2 * begin + 1] = 0
