@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.draws import Draws
 from tarnish.functions.families import ROW_ID, data_columns
-from tarnish.functions.storage import keep, release, through_table
+from tarnish.functions.storage import held, keep, release, through_table
 from tarnish.operators.compare import audit_counts, cell_audit
 from tarnish.operators.stats import TableFacts, duplicate_count, null_counts, type_counts
 from tarnish.operators.validate import Validation, pair_facts, validate_pair, validate_solvability
@@ -40,12 +40,14 @@ class DatasetTriple:
     metadata: dict[str, Any]
     facts: tuple[TableFacts, TableFacts]
     exported: dict[str, list[str]] = field(default_factory=dict)
+    #: Tables of the shared folder that were written for this triple.
+    paths: list[str] = field(default_factory=list)
 
     def release(self) -> None:
-        """Free cached tables, and delete those this application holds in the shared folder."""
+        """Free cached tables, and delete this triple's own ones in the shared folder."""
         for df in (self.perfect, self.dirty, self.recovered):
             df.unpersist()
-        release(self.dirty.sparkSession)
+        release(self.dirty.sparkSession, self.paths)
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:
@@ -119,6 +121,7 @@ def corrupt_dataset(
     disks, ``table`` to write them to the shared folder. ``unique`` says how
     distinct values are counted for the report: ``exact`` or ``approximate``.
     """
+    before = set(held(perfect.sparkSession))
     config = config or InjectionConfig.from_difficulty("medium", seed)
     draws = Draws(config.seed if seed is None else seed, tuple(key), method)
     dirty = keep(inject(perfect, config, draws), hold, "dirty")
@@ -146,7 +149,8 @@ def corrupt_dataset(
     if audit:
         counts = audit_counts(cell_audit(perfect, dirty, key)).collect()
         metadata["injection_log"] = [r.asDict() for r in sorted(counts, key=lambda r: (r["column"], r["kind"]))]
-    return DatasetTriple(perfect, dirty, recovered, metadata, facts)
+    own = [p for p in held(perfect.sparkSession) if p not in before]
+    return DatasetTriple(perfect, dirty, recovered, metadata, facts, paths=own)
 
 
 def resolve_config(config: str | DatasetConfig | Mapping[str, Any]) -> DatasetConfig:

@@ -16,6 +16,7 @@ from tarnish.operators.compare import audit_counts, cell_audit, similarity
 from tarnish.operators.validate import expected_range, out_of_range, pair_facts, validate_pair, validate_solvability
 from tarnish.plans import report
 from tarnish.plans.batch import batch_quality, clean_batch, corrupt_batch, damaged_types, typed_again
+from tarnish.plans.checks import check_datasets
 from tarnish.plans.cleaning import cleaning_plan, run_cleaning
 from tarnish.plans.dataset import recovery_summary, table_counts
 from tarnish.plans.injection import InjectionConfig
@@ -630,3 +631,51 @@ def flagship(spark, d):
         for side, df in (("dirty", dirty), ("recovered", recovered))
     ]
     return reduce(DataFrame.unionByName, sides)
+
+
+_PLANNED = ("handle_missing_values", "clean_text_columns", "remove_outliers")
+_UNPLANNED = ("convert_data_types", "tidy_up")
+_PRIORITIES = {"1-URGENT": _PLANNED, "2-HIGH": _PLANNED, "3-MEDIUM": _UNPLANNED, "4-NOT SPECIFIED": _UNPLANNED, "5-LOW": _PLANNED}
+
+
+@query(
+    "batch_checks",
+    f"""WITH d AS (
+        SELECT o_orderpriority, o_orderkey, o_custkey, CASE WHEN NOT {sql.u("o_orderkey", "price")} < 0.03 THEN o_totalprice END AS price,
+               CASE WHEN {sql.u("o_orderkey", "status")} < 0.1 THEN '  ' || o_orderstatus ELSE o_orderstatus END AS status FROM orders
+    ),
+    r AS (SELECT o_orderpriority, coalesce(price, -100.0) AS price, lower(trim(status)) AS status FROM d WHERE o_orderkey % 50 <> 0),
+    p AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {str(v is _PLANNED).lower()})" for k, v in _PRIORITIES.items())}) AS t(o_orderpriority, planned)),
+    g AS (
+        SELECT o_orderpriority, planned, count(*) AS rows, count(*) - count(price) AS missing, count(*) FILTER (status <> trim(status)) AS untrimmed
+        FROM d JOIN p USING (o_orderpriority) GROUP BY ALL
+    ),
+    left_ AS (SELECT o_orderpriority, count(*) AS left_rows, count(*) FILTER (price < 0) AS filled FROM r GROUP BY ALL),
+    fresh AS (
+        SELECT o_orderpriority, count(*) AS n FROM (SELECT DISTINCT o_orderpriority, status FROM r EXCEPT SELECT DISTINCT o_orderpriority, status FROM d) GROUP BY ALL
+    ),
+    w AS (SELECT * FROM g JOIN left_ USING (o_orderpriority) JOIN fresh USING (o_orderpriority)),
+    f AS (
+        SELECT o_orderpriority, 'row_count' AS "check", NULL AS "column", CASE WHEN planned THEN 'note' ELSE 'warning' END AS level, rows - left_rows AS n FROM w
+        UNION ALL SELECT o_orderpriority, 'value_range', 'price', 'warning', filled FROM w
+        UNION ALL SELECT o_orderpriority, 'new_values', 'status', CASE WHEN planned THEN 'warning' ELSE 'error' END, n FROM w
+        UNION ALL SELECT o_orderpriority, 'null_repair', 'price', 'warning', missing FROM w
+        UNION ALL SELECT o_orderpriority, 'missing_values', NULL, CASE WHEN planned THEN 'note' ELSE 'error' END, missing FROM w
+        UNION ALL SELECT o_orderpriority, 'text_issues', 'status', 'warning', untrimmed FROM w WHERE NOT planned
+        UNION ALL SELECT o_orderpriority, 'type_conversion', 'status', 'warning', 0 FROM w WHERE NOT planned
+    )
+    SELECT * FROM f WHERE n > 0 OR "check" = 'type_conversion'
+    UNION ALL SELECT o_orderpriority, 'operations', NULL, 'error', 1 FROM w WHERE NOT planned""",
+)
+def batch_checks(spark, d):
+    """Orders of each priority as a dataset, with plans that fit and plans that do not."""
+    by = draws("o_orderkey")
+    dirty = table(spark, d, "orders").select(
+        "o_orderpriority",
+        "o_orderkey",
+        "o_custkey",
+        F.when(~by.below(0.03, "price"), F.col("o_totalprice")).alias("price"),
+        F.when(by.below(0.1, "status"), F.concat(F.lit("  "), "o_orderstatus")).otherwise(F.col("o_orderstatus")).alias("status"),
+    )
+    recovered = dirty.where("o_orderkey % 50 <> 0").withColumns({"price": F.coalesce("price", F.lit(-100.0)), "status": F.lower(F.trim("status"))})
+    return check_datasets(dirty, recovered, _PRIORITIES, "o_orderpriority")

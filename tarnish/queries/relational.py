@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.families import ROW_ID
 from tarnish.functions.quantiles import exact_quantiles, group_quantiles, kth_smallest
-from tarnish.functions.storage import small_table
+from tarnish.functions.storage import new_path, small_table
 from tarnish.operators import inject, sampling, stats
 from tarnish.operators.compare import new_values
 from tarnish.operators.dedupe import remove_duplicates
 from tarnish.operators.outliers import iqr_bounds
+from tarnish.operators.profiles import DISTINCT_ERROR, RANK_ERROR, merge_profiles, profile_parts, read_profiles, store_profiles
 from tarnish.queries import sql
 from tarnish.queries.registry import draws, query, table
 
@@ -435,3 +436,36 @@ def new_values_query(spark, d):
     )
     recovered = customer.withColumn("c_mktsegment", F.lower("c_mktsegment"))
     return new_values(dirty, recovered, ["c_mktsegment", "c_name"])
+
+
+_PROFILED = ("l_quantity", "l_extendedprice", "l_linenumber")
+
+
+@query(
+    "profiles_merged",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS missing, min({c})::DOUBLE AS low, max({c})::DOUBLE AS high, "
+        f"round(avg({c}::DOUBLE), 4) AS mean, round(stddev_samp({c}::DOUBLE), 4) AS std, true AS distinct_close, true AS median_close FROM lineitem"
+        for c in _PROFILED
+    ),
+)
+def profiles_merged(spark, d):
+    """Profiles of each return flag, stored and merged; how far sketches err is held against exact counts."""
+    columns, lines = list(_PROFILED), table(spark, d, "lineitem")
+    path = store_profiles(profile_parts(lines, "l_returnflag", columns), new_path(spark, "profiles"))
+    merged = merge_profiles(read_profiles(spark, path), probabilities=[0.5])
+    exact = lines.agg(*(F.count_distinct(c).alias(c) for c in columns)).first()
+    around = exact_quantiles(lines, {c: F.col(c) for c in columns}, [0.5 - RANK_ERROR, 0.5 + RANK_ERROR])[()]
+    told = small_table(spark, [(c, exact[c], *around[c]) for c in columns], "column string, exact bigint, q_low double, q_high double")
+    median = F.col("quantiles")[0]
+    return merged.join(told, "column").select(
+        "column",
+        "rows",
+        "missing",
+        "low",
+        "high",
+        F.round("mean", 4).alias("mean"),
+        F.round("std", 4).alias("std"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.col("exact") * DISTINCT_ERROR, F.lit(1.0))).alias("distinct_close"),
+        ((median >= F.col("q_low")) & (median <= F.col("q_high"))).alias("median_close"),
+    )
