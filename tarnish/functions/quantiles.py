@@ -178,7 +178,8 @@ def group_quantiles(
     shares = list(probabilities)
     sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
     if (sizes.agg(F.max("_n")).first()[0] or 0) <= gather_rows:
-        return _gathered_groups(df, values, shares, by)
+        # Written, so that plans which join it again and again stay short.
+        return through_table(_gathered_groups(df, values, shares, by), "quantiles")
     search = _Search(df, _as_doubles(values), by, gather_rows)
 
     def ranks(_: int, n: Column) -> list[Column]:
