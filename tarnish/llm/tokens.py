@@ -31,9 +31,9 @@ from tarnish.llm.common import ranges
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Units (cores, tails, other words) of one generation.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 #: Characters of text to hand over at once; more of them share more words, and take more memory.
-ENCODE_CHARS = 1 << 22
+ENCODE_CHARS = 1 << 20
 
 # Letters of one script, composed, whose lower case is one letter; then marks that never join a letter.
 _LETTER_CLASS = "A-Za-zÀ-ÖØ-öø-ÿ"
