@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnish.functions.storage import through_table
-from tarnish.llm.common import id_and_text
+from tarnish.llm.common import free_name, id_and_text, tidy
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -231,7 +231,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     block = next(blocks)
     while block is not None:
         following = next(blocks, None)
-        found = wanted.mapInArrow(_finder(block), schema)
+        found = wanted.mapInArrow(tidy(_finder(block), _hashes.clear), schema)
         # One block is held at a time.
         out.append(found if following is None and not out else through_table(found, "leaks"))
         block = following
@@ -257,13 +257,30 @@ def _finder(block: Benchmark):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **settings) -> DataFrame:
-    """The rows, with all their columns, whose text holds no benchmark item."""
+    """The rows, with all their columns, whose text holds no benchmark item.
+
+    A benchmark of one block is a filter. With more, one block is held at a time: each writes down hashes
+    (128 bits) of the texts it matches, and rows with such a text go.
+    """
     at = docs.columns.index(text_col)
-    for block in benchmark_blocks(benchmark, **settings):
+    blocks = benchmark_blocks(benchmark, **settings)
+    block, following = next(blocks), next(blocks, None)
 
-        def run(batches: Iterable[pa.RecordBatch], block: Benchmark = block) -> Iterator[pa.RecordBatch]:
+    def chosen(df: DataFrame, block: Benchmark, column: int, leaks: bool) -> DataFrame:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([not block.matches(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([bool(block.matches(t)) == leaks for t in batch.column(column).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return df.mapInArrow(tidy(run, _hashes.clear), df.schema)
+
+    if following is None:
+        return chosen(docs, block, at, False)
+    text = docs[text_col].cast("string")
+    names = [free_name("leak_1", docs), free_name("leak_2", docs)]
+    hashes = [F.xxhash64(text).alias(names[0]), F.xxhash64(F.lit(1), text).alias(names[1])]
+    texts, leaks = docs.select(text.alias("text"), *hashes), None
+    while block is not None:
+        found = through_table(chosen(texts, block, 0, True).select(*names), "leaks")
+        leaks = found if leaks is None else leaks.unionByName(found)
+        block, following = following, next(blocks, None)
+    return docs.select("*", *hashes).join(leaks.distinct(), names, "left_anti").drop(*names)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tarnish.llm.common import binaries, chunks, id_and_text
+from tarnish.llm.common import binaries, chunks, id_and_text, tidy
 from tarnish.llm.tokens import ENCODE_CHARS, encoder_for
 
 SEQUENCE_TOKENS = 2048
@@ -131,4 +131,4 @@ def pack(
         if held:
             yield from flush()
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run, lambda: encoder_for(tokenizer).forget()), SCHEMA)

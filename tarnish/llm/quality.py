@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnish.llm.common import binaries, chunks, id_and_text, remainder
+from tarnish.llm.common import binaries, chunks, id_and_text, remainder, tidy
 
 BUCKET_BITS = 17
 NGRAMS = (3, 4, 5)
@@ -161,7 +161,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, max_docs: int, id_col: str,
                 names=["features", "counts", "label"],
             )
 
-    got = wanted.mapInArrow(run, "features binary, counts binary, label long").toLocalIterator()
+    got = wanted.mapInArrow(tidy(run), "features binary, counts binary, label long").toLocalIterator()
     rows = []
     for f, c, label in got:
         steps, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in (f, c))
@@ -190,7 +190,7 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
             scores = model.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -201,4 +201,4 @@ def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5, text_col
         for batch in batches:
             yield batch.filter(pa.array(model.scores(batch.column(at).to_pylist()) >= least, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnish.llm.common import tidy
+
 KINDS = ("assign", "access", "hex", "entropy")
 BASE_KINDS = KINDS[:3]
 
@@ -188,4 +190,4 @@ def redact(
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -126,8 +126,7 @@ class WordEncoder:
     def __init__(self, path: str, special_as_text: bool = False, cache_units: int = CACHE_UNITS) -> None:
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = special_as_text
+        self.special_as_text = special_as_text
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
@@ -179,7 +178,15 @@ class WordEncoder:
 
     def whole(self, texts: Sequence[str]) -> list[np.ndarray]:
         """As the library itself encodes them."""
-        return [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
+        self.tokenizer.encode_special_tokens = self.special_as_text
+        try:
+            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
+    def forget(self) -> None:
+        """Drops all remembered units."""
+        self.units, self.older = _Units(), _Units()
 
     def encode(self, texts: Sequence[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""

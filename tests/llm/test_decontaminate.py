@@ -5,6 +5,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tarnish.llm.decontaminate import Benchmark, drop_leaks, find_leaks
 
 
@@ -85,6 +87,12 @@ def test_drop_leaks(spark, docs_of, corpus, odd, odd_rows, empty):
     assert kept.schema == docs.schema
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - leaks
     assert drop_leaks(odd, bench).count() == len(odd_rows) and drop_leaks(empty, bench).collect() == []
+    # Benchmarks of several blocks, with null and repeated texts and a column of another use.
+    odd_too = docs.withColumn("leak_1", F.lit("x")).unionByName(docs.limit(3).withColumn("text", F.lit(None).cast("string")).withColumn("leak_1", F.lit("y")))
+    again = drop_leaks(odd_too, bench, block_bytes=700)
+    assert again.schema == odd_too.schema
+    assert sorted(r.doc_id for r in again.where("leak_1 = 'x'").collect()) == sorted(r.doc_id for r in kept.collect())
+    assert again.where("leak_1 = 'y'").count() == 3
     nothing = bench.limit(0)
     assert find_leaks(docs, nothing).collect() == [] and drop_leaks(docs, nothing).count() == len(rows)
 
