@@ -100,6 +100,10 @@ def fill_along(
     down once so that every later read sees the same one. A slice needs only
     the last (first) known value of the slices before (after) it: one row per
     slice and key.
+
+    The next known value is the last one in the reversed order: a frame that
+    reaches to the end is added up anew for every row of it, which takes the
+    square of a slice.
     """
     if how not in ORDERED_FILLS:
         raise ValueError(f"unknown fill {how!r}; use one of {ORDERED_FILLS}")
@@ -112,15 +116,18 @@ def fill_along(
     # A track is followed along the order: the value and, to interpolate, its row position.
     tracks = {f"_v{i}": F.col(c).cast("double") if how == "interpolate" else F.col(c) for i, c in enumerate(columns)}
     rows = Window.partitionBy("_slice", *keys).orderBy(*order)
-    if how == "interpolate":
+    if how != "forward_fill":
         sliced = sliced.withColumn("_at", F.row_number().over(rows).cast("bigint"))
+    if how == "interpolate":
         tracks |= {f"_p{i}": F.when(F.col(c).isNotNull(), F.col("_at")) for i, c in enumerate(columns)}
     sliced = sliced.withColumns(tracks)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     nearest = []
     if how != "back_fill":
-        nearest.append(("before", F.last, F.max_by, rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        nearest.append(("before", F.last, F.max_by, rows.rowsBetween(*so_far)))
     if how != "forward_fill":
-        nearest.append(("after", F.first, F.min_by, rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+        back = Window.partitionBy("_slice", *keys).orderBy(F.desc("_at"))
+        nearest.append(("after", F.first, F.min_by, back.rowsBetween(*so_far)))
 
     # One row per slice and key: the outermost known values, then the nearest ones of other slices.
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -157,7 +164,7 @@ def fill_along(
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     inside = sliced.withColumns(
-        {f"{t}_in_{side}": pick(t, ignorenulls=True).over(frame) for t in tracks for side, pick, _, frame in nearest}
+        {f"{t}_in_{side}": F.last(t, ignorenulls=True).over(frame) for t in tracks for side, *_, frame in nearest}
     )
     joined = inside.join(carry, same)
 
