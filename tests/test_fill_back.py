@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tarnish.operators.fill import fill_along
 
 
-@pytest.mark.parametrize("how", ["back_fill"])
+@pytest.mark.parametrize("how", ["back_fill", "interpolate"])
 def test_no_frame_runs_from_each_row_to_the_end(spark, how):
     n = 300
     rows = [(i, None if i % 7 or i > 280 else float(i * i)) for i in range(1, n)]
