@@ -6,7 +6,8 @@ sketch, what lies at and below the two is counted, and the search goes on
 strictly between them: a pass keeps a few hundredths of the rows, and always
 drops the two values themselves, so ties and infinities end it sooner. Once few enough rows
 lie between, they are sorted in the pass that counts them. All columns share
-the passes; after the extent, a table of some million rows takes two.
+the passes; after the extent, a table of some million rows takes two. With groups the
+first sketch comes with the extent, and the rows' keys and numbers are written once before.
 
 With groups the places are columns of a table with one row for each group, joined
 back for the next pass, so there may be as many groups as rows, and one may hold
@@ -71,20 +72,27 @@ class _Search:
         return df.groupBy(*self.keys).agg(*aggregates)
 
     def start(self, ranks) -> DataFrame:
-        """Extent of all values, and ranks that may lie anywhere; ``ranks(i, n)`` gives those of value ``i``."""
+        """Extent and sketch of all values, and the places of the ranks ``ranks(i, n)`` gives for value ``i``.
+
+        All ranks of a value share its one sketch here; a sketch for each of them costs most of the search.
+        """
         aggregates = []
         for i, v in enumerate(self.values):
             c = F.col(v)
-            aggregates += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
+            aggregates += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"), _grid(c).alias(f"grid{i}")]
         extent = self._grouped(self.df, aggregates)
         columns, self.of, ends = [], [], F.lit(float("inf"))
         for i in range(len(self.values)):
-            n = F.col(f"n{i}")
+            n, low, high = F.col(f"n{i}"), F.col(f"min{i}"), F.col(f"max{i}")
             for r in ranks(i, n):
                 j = len(self.of)
                 self.of.append(i)
-                known = F.when(r <= 0, F.col(f"min{i}")).when(r >= n - 1, F.col(f"max{i}"))
-                columns += [r.alias(f"r{j}"), (-ends).alias(f"lo{j}"), ends.alias(f"hi{j}"), known.alias(f"found{j}"), n.alias(f"in{j}")]
+                known = F.when(r <= 0, low).when(r >= n - 1, high)
+                lo, hi = self._between(r, n, F.col(f"grid{i}"), low, high)
+                columns += [
+                    r.alias(f"r{j}"), F.coalesce(lo, -ends).alias(f"lo{j}"), F.coalesce(hi, ends).alias(f"hi{j}"),
+                    known.alias(f"found{j}"), self._most(n).alias(f"in{j}"),
+                ]
         return extent.select(*self.keys, *(f"n{i}" for i in range(len(self.values))), *columns)
 
     @staticmethod
@@ -181,6 +189,8 @@ def group_quantiles(
         # Written, so that plans which join it again and again stay short.
         return through_table(_gathered_groups(df, values, shares, by), "quantiles")
     search = _Search(df, _as_doubles(values), by, gather_rows)
+    # Each pass reads keys and numbers, not what made them.
+    search.df = through_table(search.df, "quantiles")
 
     def ranks(_: int, n: Column) -> list[Column]:
         return [r for low, _ in _rank_columns(n, shares) for r in (low, F.least(low + 1, F.greatest(n - 1, F.lit(0))))]
