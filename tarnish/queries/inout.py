@@ -115,6 +115,7 @@ def stream_window_quality(spark, d):
 
 # Events as they arrive: in micro-batches along their time, some of them one or two batches behind.
 _PARTS = 5
+_FILE_ROWS = 250_000
 
 
 def _arriving_events(spark, d):
@@ -127,10 +128,20 @@ def _arriving_events(spark, d):
     value = F.when(F.col("event_id") % 3 == 0, -999.0).otherwise(F.col("value"))
     dealt = events.withColumns({"batch": batch, "value": value})
     path = new_path(spark, "arriving")
+    files = _files_of_a_batch(dealt)
     for b in range(_PARTS + 2):
-        # One file, so one micro-batch; files are taken in the order in which they were written.
-        dealt.where(F.col("batch") == b).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(dealt.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        # As many files for each micro-batch; files are taken in the order in which they were written.
+        own = dealt.where(F.col("batch") == b)
+        (own.coalesce(1) if files == 1 else own.repartition(files)).write.mode("append").parquet(path)
+    return spark.readStream.schema(dealt.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _files_of_a_batch(dealt):
+    """By the largest batch; rows dealt in turn fill that many files if one partition holds as many of the batch's rows."""
+    parts = dealt.groupBy("batch", F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    batches = parts.groupBy("batch").agg(F.sum("n").alias("rows"), F.max("n").alias("most")).where("batch IS NOT NULL")
+    rows, most, n = batches.agg(F.max("rows"), F.min("most"), F.count("*")).first()
+    return 1 if n < _PARTS + 2 else max(1, min(-(-rows // _FILE_ROWS), most))
 
 
 _ARRIVING = f"""

@@ -3,7 +3,9 @@
 Both hold rows or sessions of a key until the watermark has passed them, and then
 let them out in the order of their time; timers wake a key when it has something
 to let out or to forget. So a key's state is what came within the delay, and at
-most one value for each filled column.
+most one value for each filled column. Every call of the state crosses from Python
+to the JVM, so keys share the calls: Spark's key is one of ``BUCKETS`` hashes of
+the keys, and the rows and sessions of each key are told apart within it.
 
 Spark drops rows behind the watermark before an operator sees them. Here the
 watermark is laid on a copy of the time that is moved far ahead, with a delay that
@@ -35,6 +37,11 @@ from tarnish.streaming.streams import instant
 _AHEAD = "_ahead"
 _AT = "_at"
 _KEY = "_key"
+_BUCKET = "_bucket"
+#: Hashes that the keys of a stream share; changes no result. A checkpoint keeps to the number it began with.
+BUCKETS = 2048
+#: Rows that lie in one entry of a bucket's list; bounds entries, changes no result.
+CHUNK = 5000
 #: How far the watermark's copy of the time is moved; no row is later than that.
 AHEAD_DAYS = 366 * 200
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -55,22 +62,24 @@ def micros(length: str | timedelta) -> int:
 
 
 def _with_time(stream: DataFrame, keys: Sequence[str], time: str, delay: str | timedelta) -> DataFrame:
-    """``_at``: microseconds since 1970; ``_ahead``: the watermark's copy of the time; ``_key``: the keys as one text, nulls too."""
+    """``_at``: microseconds since 1970; ``_ahead``: the watermark's copy of the time; ``_key``: the keys as one text, nulls too; ``_bucket``: its hash."""
     parts = (F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("-")) for k in keys)
     at = F.unix_micros(instant(stream, time))
     ahead = F.timestamp_micros(F.coalesce(at, F.lit(0)) + F.lit(AHEAD_DAYS * 86_400_000_000))
-    return stream.withColumns({_AT: at, _AHEAD: ahead, _KEY: F.concat_ws("\x1f", *parts)}).withWatermark(_AHEAD, f"{AHEAD_DAYS * 86400 + micros(delay) / 1e6} seconds")
+    key = F.concat_ws("\x1f", *parts)
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+    return stream.withColumns({_AT: at, _AHEAD: ahead, _KEY: key, _BUCKET: bucket}).withWatermark(_AHEAD, f"{AHEAD_DAYS * 86400 + micros(delay) / 1e6} seconds")
 
 
 class _Waking(StatefulProcessor):
-    """One timer for each key: the earliest time at which it has something to do."""
+    """One timer for each bucket: the earliest time at which one of its keys has something to do."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
 
     def wake(self, at: int | None, gone: int = -1) -> None:
-        """``at`` in microseconds; timers count whole milliseconds. Those up to ``gone`` are just being served."""
-        wanted = None if at is None else max(at // 1000, 1)
+        """``at`` in microseconds; timers count whole milliseconds, the first that is not before. Those up to ``gone`` are just being served."""
+        wanted = None if at is None else max(-(-at // 1000), 1)
         for timer in [t for t in self.handle.listTimers() if t > gone]:
             if wanted is not None and timer <= wanted:
                 return
@@ -89,52 +98,59 @@ class _ForwardFill(_Waking):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.out = Row(*self.names, "late")
-        self.waiting = handle.getListState("waiting", "at long, row binary")
+        self.waiting = handle.getListState("waiting", "rows binary")
         self.last = handle.getValueState("last", "known binary")
 
+    @staticmethod
+    def _chunks(rows: Sequence[tuple]) -> list[tuple]:
+        return [(pickle.dumps(rows[i : i + CHUNK]),) for i in range(0, len(rows), CHUNK)]
+
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        done, earliest, new = timerValues.getCurrentWatermarkInMs() * 1000, None, []
+        done, new = timerValues.getCurrentWatermarkInMs() * 1000, []
         for row in rows:
             at, values = row[_AT], tuple(row[n] for n in self.names)
             if at is None or at <= done:
                 yield self.out(*values, True)
-                continue
-            new.append((at, pickle.dumps(values)))
-            earliest = at if earliest is None else min(earliest, at)
+            else:
+                new.append((row[_KEY], at, values))
         if new:
-            self.waiting.appendList(new)
-            self.wake(earliest)
+            self.waiting.appendList(self._chunks(new))
+            self.wake(min(at for _, at, _ in new))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         done = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.waiting.get())
-        ready = [(at, pickle.loads(row)) for at, row in held if at <= done]
-        rest = [(at, row) for at, row in held if at > done]
+        ready, rest = [], []
+        for (chunk,) in self.waiting.get():
+            for held in pickle.loads(chunk):
+                (ready if held[1] <= done else rest).append(held)
         places = [self.names.index(c) for c in self.order]
         # Nulls first, as in an ascending order.
-        ready.sort(key=lambda x: (x[0], *((x[1][p] is not None, x[1][p]) for p in places)))
+        ready.sort(key=lambda x: (x[0], x[1], *((x[2][p] is not None, x[2][p]) for p in places)))
         found = self.last.get()
-        known: dict[str, tuple[int, Any]] = pickle.loads(found[0]) if found else {}
-        for at, values in ready:
+        last: dict[str, dict[str, tuple[int, Any]]] = pickle.loads(found[0]) if found else {}
+        filled_at = [(c, self.names.index(c)) for c in self.columns]
+        for own, at, values in ready:
+            known = last.setdefault(own, {})
             filled = list(values)
-            for c in self.columns:
-                p = self.names.index(c)
+            for c, p in filled_at:
                 if filled[p] is not None:
                     known[c] = (at, filled[p])
                 elif c in known and at - known[c][0] <= self.max_gap:
                     filled[p] = known[c][1]
             yield self.out(*filled, False)
         # What lies too far back for any row to come is forgotten.
-        known = {c: v for c, v in known.items() if v[0] + self.max_gap > done}
-        if known:
-            self.last.update((pickle.dumps(known),))
+        kept = ((own, {c: v for c, v in known.items() if v[0] + self.max_gap > done}) for own, known in last.items())
+        last = {own: known for own, known in kept if known}
+        if last:
+            self.last.update((pickle.dumps(last),))
         else:
             self.last.clear()
         if rest:
-            self.waiting.put(rest)
+            self.waiting.put(self._chunks(rest))
         else:
             self.waiting.clear()
-        self.wake(min([at for at, _ in rest] + [at + self.max_gap for at, _ in known.values()], default=None), done // 1000)
+        ends = [at + self.max_gap for known in last.values() for at, _ in known.values()]
+        self.wake(min([at for _, at, _ in rest] + ends, default=None), done // 1000)
 
 
 def forward_fill_stream(
@@ -158,7 +174,7 @@ def forward_fill_stream(
     processor = _ForwardFill(names, columns, order_by, micros(max_gap))
     return (
         _with_time(stream, keys, time, delay)
-        .groupBy(_KEY)
+        .groupBy(_BUCKET)
         .transformWithState(processor, schema, "append", "EventTime")
     )
 
@@ -170,26 +186,30 @@ class _Sessions(_Waking):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.out = Row(*self.names)
-        self.open = handle.getListState("open", "first long, last long, row binary")
-        self.key = handle.getValueState("key", "key binary")
+        self.open = handle.getValueState("open", "sessions binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         done = timerValues.getCurrentWatermarkInMs() * 1000
-        late, points, own = (0, (0.0,) * self.sums), [], ()
+        late: dict[str, tuple] = {}
+        points: dict[str, list] = {}
+        owners: dict[str, tuple] = {}
         for row in rows:
-            own = tuple(row[k] for k in self.keys)
-            at, values = row[_AT], tuple(0.0 if row[f"_sum{i}"] is None else row[f"_sum{i}"] for i in range(self.sums))
+            at, name, values = row[_AT], row[_KEY], tuple(0.0 if row[f"_sum{i}"] is None else row[f"_sum{i}"] for i in range(self.sums))
+            owners[name] = tuple(row[k] for k in self.keys)
             if at is None or at <= done:
-                late = _added(late, (1, values))
+                late[name] = _added(late.get(name, (0, (0.0,) * self.sums)), (1, values))
             else:
-                points.append((at, at, (1, values)))
-        if late[0]:
-            yield self.out(*own, None, None, late[0], *late[1], True)
+                points.setdefault(name, []).append((at, at, (1, values)))
+        for name, told in late.items():
+            yield self.out(*owners[name], None, None, told[0], *told[1], True)
         if points:
-            merged = self._merged([(a, b, pickle.loads(x)) for a, b, x in self.open.get()] + points)
-            self.open.put([(a, b, pickle.dumps(x)) for a, b, x in merged])
-            self.key.update((pickle.dumps(own),))
-            self.wake(min(b for _, b, _ in merged) + self.gap)
+            found = self.open.get()
+            held = pickle.loads(found[0]) if found else {}
+            for name, new in points.items():
+                before = held[name][1] if name in held else []
+                held[name] = (owners[name], self._merged(before + new))
+            self.open.update((pickle.dumps(held),))
+            self.wake(min(last for name in points for _, last, _ in held[name][1]) + self.gap)
 
     def _merged(self, sessions: Iterable[tuple]) -> list[tuple]:
         out: list[tuple] = []
@@ -202,20 +222,19 @@ class _Sessions(_Waking):
         return out
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        done, rest, found = timerValues.getCurrentWatermarkInMs() * 1000, [], self.key.get()
-        own = pickle.loads(found[0]) if found else ()
-        for first, last, told in self.open.get():
-            if last + self.gap <= done:
-                rows, sums = pickle.loads(told)
-                yield self.out(*own, first, last, rows, *sums, False)
-            else:
-                rest.append((first, last, told))
+        done, rest, found = timerValues.getCurrentWatermarkInMs() * 1000, {}, self.open.get()
+        for name, (own, sessions) in (pickle.loads(found[0]) if found else {}).items():
+            for first, last, (rows, sums) in sessions:
+                if last + self.gap <= done:
+                    yield self.out(*own, first, last, rows, *sums, False)
+            left = [s for s in sessions if s[1] + self.gap > done]
+            if left:
+                rest[name] = (own, left)
         if rest:
-            self.open.put(rest)
+            self.open.update((pickle.dumps(rest),))
         else:
             self.open.clear()
-            self.key.clear()
-        self.wake(min((last + self.gap for _, last, _ in rest), default=None), done // 1000)
+        self.wake(min((last + self.gap for _, sessions in rest.values() for _, last, _ in sessions), default=None), done // 1000)
 
 
 def _added(a: tuple, b: tuple) -> tuple:
@@ -246,9 +265,9 @@ def sessions_stream(
         ]
     )
     own = _with_time(stream, keys, time, delay).select(
-        *keys, _KEY, _AT, _AHEAD, *(F.col(c).cast("double").alias(f"_sum{i}") for i, c in enumerate(sums))
+        *keys, _KEY, _BUCKET, _AT, _AHEAD, *(F.col(c).cast("double").alias(f"_sum{i}") for i, c in enumerate(sums))
     )
-    found = own.groupBy(_KEY).transformWithState(_Sessions(micros(gap), keys, len(sums), schema.names), schema, "append", "EventTime")
+    found = own.groupBy(_BUCKET).transformWithState(_Sessions(micros(gap), keys, len(sums), schema.names), schema, "append", "EventTime")
 
     def told(c: str) -> Column:
         if isinstance(type_of(stream, time), T.TimestampNTZType):
