@@ -11,7 +11,7 @@ START = datetime(2024, 1, 1)
 SCHEMA = "id long, k string, at timestamp_ntz, v double"
 
 
-@pytest.mark.parametrize("kind", ["fill"])
+@pytest.mark.parametrize("kind", ["fill", "sessions"])
 def test_many_keys_few_entries(spark, monkeypatch, kind):
     monkeypatch.setattr(state, "BUCKETS", 3, raising=False)
     state.use_rocksdb(spark)
@@ -35,3 +35,28 @@ def test_many_keys_few_entries(spark, monkeypatch, kind):
         assert {(r.k, r.rows, r.sum_v, r.late) for r in found} == {(k, 2, float(i), False) for i, k in enumerate(keys)}
     # Rows, values and two columns of timers for each of three hashes; not for each of 40 keys.
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 3 * 4
+
+
+def test_each_batch_has_as_many_files(spark, monkeypatch, tmp_path):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    from pyspark.sql import functions as F
+
+    from tarnish.functions.storage import held
+    from tarnish.queries import inout
+
+    monkeypatch.setattr(inout, "_FILE_ROWS", 60, raising=False)
+    events = spark.range(1500, numPartitions=3).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 977 % 1500 + 1_700_000_000).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"), F.col("id").cast("double").alias("value"), F.lit("{}").alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    inout._arriving_events(spark, str(tmp_path))
+    files = sorted(glob.glob(held(spark)[-1].removeprefix("file:") + "/*.parquet"), key=os.path.getmtime)
+    batches = [set(pq.read_table(f)["batch"].to_pylist()) for f in files]
+    n = len(files) // (inout._PARTS + 2)
+    assert n > 1 and [b for own in batches for b in own] == [b for b in range(inout._PARTS + 2) for _ in range(n)]
+    assert sum(pq.read_metadata(f).num_rows for f in files) == 1500
