@@ -5,7 +5,9 @@ let them out in the order of their time; timers wake a key when it has something
 to let out or to forget. So a key's state is what came within the delay, and at
 most one value for each filled column. Every call of the state crosses from Python
 to the JVM, so keys share the calls: Spark's key is one of ``BUCKETS`` hashes of
-the keys, and the rows and sessions of each key are told apart within it.
+the keys, and the rows and sessions of each key are told apart within it. Rows
+cross by the hundred too: before the shuffle those of a hash that lie in one task
+are packed into one.
 
 Spark drops rows behind the watermark before an operator sees them. Here the
 watermark is laid on a copy of the time that is moved far ahead, with a delay that
@@ -25,6 +27,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from datetime import timedelta
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +41,13 @@ _AHEAD = "_ahead"
 _AT = "_at"
 _KEY = "_key"
 _BUCKET = "_bucket"
+_PACK = "_pack"
 #: Hashes that the keys of a stream share; changes no result. A checkpoint keeps to the number it began with.
 BUCKETS = 2048
 #: Rows that lie in one entry of a bucket's list; bounds entries, changes no result.
 CHUNK = 5000
+#: Rows of a task that are packed at once; bounds memory, changes no result.
+PACK_ROWS = 100_000
 #: How far the watermark's copy of the time is moved; no row is later than that.
 AHEAD_DAYS = 366 * 200
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -61,14 +67,45 @@ def micros(length: str | timedelta) -> int:
     return timedelta(**{name: float(number)}) // timedelta(microseconds=1)
 
 
-def _with_time(stream: DataFrame, keys: Sequence[str], time: str, delay: str | timedelta) -> DataFrame:
-    """``_at``: microseconds since 1970; ``_ahead``: the watermark's copy of the time; ``_key``: the keys as one text, nulls too; ``_bucket``: its hash."""
+def _packed(stream: DataFrame, columns: Sequence[str | Column], keys: Sequence[str], time: str, delay: str | timedelta) -> DataFrame:
+    """Packs of rows: ``_bucket``, the hash of their keys; ``_ahead``, the watermark's copy of their greatest time; ``_pack``.
+
+    A pack lists (the keys as one text, nulls too; microseconds since 1970; the values of ``columns``) of each row.
+    """
     parts = (F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("-")) for k in keys)
     at = F.unix_micros(instant(stream, time))
-    ahead = F.timestamp_micros(F.coalesce(at, F.lit(0)) + F.lit(AHEAD_DAYS * 86_400_000_000))
     key = F.concat_ws("\x1f", *parts)
     bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
-    return stream.withColumns({_AT: at, _AHEAD: ahead, _KEY: key, _BUCKET: bucket}).withWatermark(_AHEAD, f"{AHEAD_DAYS * 86400 + micros(delay) / 1e6} seconds")
+    rows = stream.select(bucket.alias(_BUCKET), key.alias(_KEY), at.alias(_AT), *columns)
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        n = 0
+        for batch in batches:
+            buckets, names, times, *values = (c.to_pylist() for c in batch.columns)
+            each = zip(*values, strict=True) if values else [()] * len(names)
+            for b, row in zip(buckets, zip(names, times, each, strict=True), strict=True):
+                held.setdefault(b, []).append(row)
+            n += len(names)
+            if n >= PACK_ROWS:
+                yield packs(held)
+                held, n = {}, 0
+        if held:
+            yield packs(held)
+
+    def packs(held: dict[int, list[tuple]]) -> pa.RecordBatch:
+        top = [max(at or 0 for _, at, _ in rows) for rows in held.values()]
+        columns = [pa.array(list(held), pa.int64()), pa.array(top, pa.int64()), pa.array([pickle.dumps(rows) for rows in held.values()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=[_BUCKET, _AHEAD, _PACK])
+
+    ahead = F.timestamp_micros(F.col(_AHEAD) + F.lit(AHEAD_DAYS * 86_400_000_000))
+    made = rows.mapInArrow(pack, f"{_BUCKET} long, {_AHEAD} long, {_PACK} binary").withColumn(_AHEAD, ahead)
+    return made.withWatermark(_AHEAD, f"{AHEAD_DAYS * 86400 + micros(delay) / 1e6} seconds")
+
+
+def _unpacked(packs: Iterable[Row]) -> Iterator[tuple]:
+    for pack in packs:
+        yield from pickle.loads(pack[_PACK])
 
 
 class _Waking(StatefulProcessor):
@@ -107,12 +144,11 @@ class _ForwardFill(_Waking):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         done, new = timerValues.getCurrentWatermarkInMs() * 1000, []
-        for row in rows:
-            at, values = row[_AT], tuple(row[n] for n in self.names)
+        for own, at, values in _unpacked(rows):
             if at is None or at <= done:
                 yield self.out(*values, True)
             else:
-                new.append((row[_KEY], at, values))
+                new.append((own, at, values))
         if new:
             self.waiting.appendList(self._chunks(new))
             self.wake(min(at for _, at, _ in new))
@@ -173,15 +209,15 @@ def forward_fill_stream(
     schema = T.StructType([*stream.schema.fields, T.StructField("late", T.BooleanType())])
     processor = _ForwardFill(names, columns, order_by, micros(max_gap))
     return (
-        _with_time(stream, keys, time, delay)
+        _packed(stream, names, keys, time, delay)
         .groupBy(_BUCKET)
         .transformWithState(processor, schema, "append", "EventTime")
     )
 
 
 class _Sessions(_Waking):
-    def __init__(self, gap: int, keys: Sequence[str], sums: int, names: Sequence[str]) -> None:
-        self.gap, self.keys, self.sums, self.names = gap, list(keys), sums, list(names)
+    def __init__(self, gap: int, keys: int, sums: int, names: Sequence[str]) -> None:
+        self.gap, self.keys, self.sums, self.names = gap, keys, sums, list(names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -193,9 +229,9 @@ class _Sessions(_Waking):
         late: dict[str, tuple] = {}
         points: dict[str, list] = {}
         owners: dict[str, tuple] = {}
-        for row in rows:
-            at, name, values = row[_AT], row[_KEY], tuple(0.0 if row[f"_sum{i}"] is None else row[f"_sum{i}"] for i in range(self.sums))
-            owners[name] = tuple(row[k] for k in self.keys)
+        for name, at, told in _unpacked(rows):
+            values = tuple(0.0 if v is None else v for v in told[self.keys :])
+            owners[name] = told[: self.keys]
             if at is None or at <= done:
                 late[name] = _added(late.get(name, (0, (0.0,) * self.sums)), (1, values))
             else:
@@ -264,10 +300,9 @@ def sessions_stream(
             T.StructField("late", T.BooleanType()),
         ]
     )
-    own = _with_time(stream, keys, time, delay).select(
-        *keys, _KEY, _BUCKET, _AT, _AHEAD, *(F.col(c).cast("double").alias(f"_sum{i}") for i, c in enumerate(sums))
-    )
-    found = own.groupBy(_BUCKET).transformWithState(_Sessions(micros(gap), keys, len(sums), schema.names), schema, "append", "EventTime")
+    columns = [*keys, *(F.col(c).cast("double").alias(f"_sum{i}") for i, c in enumerate(sums))]
+    packs = _packed(stream, columns, keys, time, delay)
+    found = packs.groupBy(_BUCKET).transformWithState(_Sessions(micros(gap), len(keys), len(sums), schema.names), schema, "append", "EventTime")
 
     def told(c: str) -> Column:
         if isinstance(type_of(stream, time), T.TimestampNTZType):
