@@ -1,9 +1,8 @@
-"""Near copies by the exact Jaccard similarity of sets of five-word shingles.
+"""The exact check of near copies: Jaccard similarity of sets of five-word shingles.
 
-Candidates come from MinHash: texts that agree in all ``ROWS`` minima of one of
-``BANDS`` bands share a bucket. A pair at similarity 0.8 shares none with
-probability (1 - 0.8 ** 6) ** 40, about 5 in a million, a nearer pair far more
-seldom. Every link is then verified on the whole sets, and links make classes.
+Candidates are buckets of texts that ``simhash`` finds in its tries (MinHash bands
+once; the module keeps its name). Every link is verified on the whole sets, and
+links make classes.
 
 Each bucket's members are first held against its smallest one, as a table of
 pairs. Of buckets whose members are then still in several classes, and are more
@@ -33,15 +32,6 @@ SHINGLE_WORDS = 5
 SEED = 42
 #: Similarity of 4 in 5 or more, in whole numbers.
 NEAR = (4, 5)
-BANDS, ROWS = 40, 6
-#: Shingles times minima at once; bounds memory, changes no result.
-BLOCK = 1 << 19
-
-_dice = np.random.Generator(np.random.PCG64(SEED))
-_TURN = _dice.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-_SHIFT = _dice.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-_MIX = _dice.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-_OWN = _dice.integers(0, 1 << 63, BANDS, dtype=np.uint64)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -62,38 +52,11 @@ def shingle_set(text: str | None, k: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(np.array([digest(line[a:b], SEED) for a, b in zip(begins.tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """One key for each band; none without shingles."""
-    if not len(shingles):
-        return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    step = max(1, BLOCK // (BANDS * ROWS))
-    for i in range(0, len(shingles), step):
-        part = shingles[None, i : i + step] * _TURN[:, None] + _SHIFT[:, None]
-        np.minimum(least, part.min(axis=1), out=least)
-    keys = (least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + _OWN
-    return (keys ^ keys >> np.uint64(29)).view(np.int64)
-
-
 def word_key(text: str | None) -> int:
     value = xxhash.xxh64_intdigest(b" ".join(_words(text)), SEED)
     return value - (1 << 64) if value >> 63 else value
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, word_key, bands) for each row."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            bands = pa.array([band_keys(shingle_set(t)) for t in texts], pa.list_(pa.int64()))
-            keys = pa.array([word_key(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), keys, bands], names=["doc_id", "text_key", "word_key", "bands"])
-
-    wanted = id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    return wanted.mapInArrow(tidy(run), "doc_id long, text_key long, word_key long, bands array<long>")
-
-
 def _sets(docs: DataFrame, made: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(word_key, shingles) of the texts whose words are among ``keys``."""
 
@@ -149,18 +112,18 @@ def _within(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def class_ids(docs: DataFrame, made: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(word_key, root) of the texts that are near to another; ``made`` holds the sketches of ``docs``."""
-    each = made.select("word_key", "bands").dropDuplicates(["word_key"])
-    buckets = each.select("word_key", F.explode("bands").alias("bucket"))
-    several = buckets.groupBy("bucket").agg(F.min("word_key").alias("centre"), F.max("word_key").alias("last")).where("centre < last")
-    shared = through_table(buckets.join(several.select("bucket", "centre"), "bucket"), "buckets")
+def class_ids(docs: DataFrame, made: DataFrame, shared: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(word_key, root) of the texts that are near to another.
+
+    ``made`` holds the (doc_id, text_key, word_key) of ``docs``, ``shared`` the candidates: a
+    (word_key, bucket, centre) for each member of a bucket, of which the centre is the smallest.
+    """
     sets = through_table(_sets(docs, made, shared.select("word_key").distinct(), id_col, text_col), "shingles")
     stars = shared.where("word_key <> centre").select(F.col("word_key").alias("a"), F.col("centre").alias("b")).distinct()
     links = through_table(_verified(stars, sets), "near")
     rooted = shared.join(components(links).withColumnRenamed("node", "word_key"), "word_key", "left")
     members = through_table(rooted.select("bucket", "word_key", F.coalesce("root", "word_key").alias("root")), "members")
-    # Of two members the pair is known; the same members in several bands are looked at once.
+    # Of two members the pair is known; the same members in several buckets are looked at once.
     crowd = F.sum(F.xxhash64("word_key").cast("decimal(38,0)")).alias("crowd")
     apart = members.groupBy("bucket").agg(F.count("*").alias("n"), crowd, F.min("root").alias("low"), F.max("root").alias("high"))
     apart = apart.where("n > 2 AND low < high").groupBy("n", "crowd").agg(F.min("bucket").alias("bucket")).select("bucket")

@@ -18,12 +18,21 @@ Rows of one table only, whatever their number; copies share a fingerprint and
 are grouped before the shuffle. Texts without words have fingerprint zero, are
 linked like any other. Null ids never become a class's id unless it has no
 other. Repeated rows each come out. An empty table gives an empty result.
+
+``drop_near_copies`` asks for a similarity and not for few bits: two sets of
+five-word shingles of Jaccard similarity 0.8 differ in about 15 of 100 bits, which
+four blocks of 64 bits cannot tell. Its fingerprints have ``WIDE`` bits, and each of
+many tries takes 64 of them in an order of its own: there the join starts below the
+leading ``lead`` bits and walks down with the budget ``NEAR_RADIUS``. Classes of a trie
+are candidates; ``minhash`` verifies them on the whole sets. The leading bits grow
+with the number of texts, so a node holds about ``NODE_SIZE`` however many there are,
+and the number of tries with the leading bits, so the odds of a miss stay (``tries_for``).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.storage import through_table
 from tarnish.llm import minhash
-from tarnish.llm.common import free_name, id_and_text
+from tarnish.llm.common import free_name, id_and_text, tidy
 from tarnish.llm.links import components
 
 SHINGLE_WORDS = 3
@@ -43,6 +52,19 @@ RADIUS = 3
 TRIE_SIZE = 40_000
 #: Pairs of nodes looked at together; bounds memory, changes no result.
 FRONTIER = 1 << 20
+#: Bits of a near-copy fingerprint, a multiple of 64.
+WIDE = 512
+#: Bits of a trie's 64 that candidates may differ in, and the budgets of its walks: dense groups are one class after the first.
+NEAR_RADIUS = 11
+NEAR_BUDGETS = (4, NEAR_RADIUS)
+#: The share of bits that differ at similarity 0.8, at most: 0.152 for large sets, this for five shingles within six.
+#: For four within five it is 0.1875; these have keys of their own (``short_keys``).
+NEAR_SHARE = 0.157
+#: The odds of a miss at that share, if the tries' bits were independent.
+MISS = 1e-6
+#: Texts that agree in the leading bits, on average and at most.
+NODE_SIZE = 64
+LEAST_LEAD = 12
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -99,10 +121,13 @@ class _Classes:
                 self.of = up
 
 
-def trie_join(values: np.ndarray, lead: int, radius: int, frontier: int = FRONTIER, bits: int = 64) -> np.ndarray:
+def trie_join(
+    values: np.ndarray, lead: int, radius: int, frontier: int = FRONTIER, bits: int = 64, budgets: Sequence[int] | None = None
+) -> np.ndarray:
     """The class of each of the sorted, distinct ``values``: the first index of its class.
 
     Links values that agree in the ``lead`` leading bits and differ in ``radius`` bits at most.
+    ``budgets`` are those of the walks, of which the last is ``radius``.
     """
     classes = _Classes(len(values))
     if len(values) < 2:
@@ -112,7 +137,7 @@ def trie_join(values: np.ndarray, lead: int, radius: int, frontier: int = FRONTI
     end = np.r_[begin[1:], len(values)]
     wide = end - begin > 1
     roots = (begin[wide], end[wide], begin[wide], end[wide], np.zeros(int(wide.sum()), np.int8))
-    for budget in range(1, radius + 1):
+    for budget in budgets or range(1, radius + 1):
         stack = [(lead, roots)]
         while stack:
             depth, nodes = stack.pop()
@@ -224,16 +249,114 @@ def near_copies(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", t
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+_dice = np.random.Generator(np.random.PCG64(SEED))
+_STEP = _dice.integers(0, 1 << 63, WIDE // 64, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+
+
+def wide_print(shingles: np.ndarray) -> bytes | None:
+    """The majority of each of ``WIDE`` bits of the shingles' hashes; none without shingles."""
+    if not len(shingles):
+        return None
+    ones = np.zeros(WIDE, np.int64)
+    # So many rows that their sum fits a byte.
+    for i in range(0, len(shingles), 255):
+        h = shingles[i : i + 255, None] + _STEP
+        h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        ones += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(shingles)).tobytes()
+
+
+def short_keys(shingles: np.ndarray) -> np.ndarray:
+    """The sums of any four of four or five shingles: sets so short are near if they share one."""
+    whole = shingles.sum(keepdims=True, dtype=np.uint64)
+    return (whole if len(shingles) == 4 else whole - shingles if len(shingles) == 5 else whole[:0]).view(np.int64)
+
+
+def wide_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, word_key, print, short_keys) for each row."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, prints, short = [], [], []
+            for text in batch.column(1).to_pylist():
+                shingles = minhash.shingle_set(text)
+                keys.append(minhash.word_key(text))
+                prints.append(wide_print(shingles))
+                short.append(short_keys(shingles))
+            columns = [pa.array(keys, pa.int64()), pa.array(prints, pa.binary()), pa.array(short, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["doc_id", "text_key", "word_key", "print", "short_keys"])
+
+    wanted = id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    return wanted.mapInArrow(tidy(run), "doc_id long, text_key long, word_key long, print binary, short_keys array<long>")
+
+
+def tries_for(lead: int) -> int:
+    """So many tries that all miss a pair of ``NEAR_SHARE`` by odds of ``MISS``."""
+    rest = 64 - lead
+    within = sum(math.comb(rest, k) * NEAR_SHARE**k * (1 - NEAR_SHARE) ** (rest - k) for k in range(NEAR_RADIUS + 1))
+    return math.ceil(math.log(MISS) / math.log1p(-((1 - NEAR_SHARE) ** lead) * within))
+
+
+def orders(tries: int) -> np.ndarray:
+    """The 64 bits of each trie: bits of the fingerprint in rounds of shuffles, so that leading bits are spread over all."""
+    dice = np.random.Generator(np.random.PCG64(SEED + 1))
+    return np.array([dice.permutation(WIDE)[:64] for _ in range(tries)])
+
+
+def candidates(made: DataFrame, trie_size: int = TRIE_SIZE) -> DataFrame:
+    """(word_key, bucket, centre) of the texts that share a class of a trie, or a short key, with another; the centre is the smallest of the bucket."""
+    each = made.where("print IS NOT NULL").select("word_key", "print", "short_keys").dropDuplicates(["word_key"])
+    n = each.count()
+    lead = min(32, max(LEAST_LEAD, math.ceil(math.log2(max(1, n) / NODE_SIZE))))
+    # Tries by their first bits, as in ``links``.
+    prefix = min(lead, max(0, math.ceil(math.log2(max(1, n) / trie_size))))
+    tries = tries_for(lead)
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken = orders(tries)
+        for whole in batches:
+            for i in range(0, len(whole), 2000):
+                batch = whole.slice(i, 2000)
+                prints = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), WIDE // 8)
+                bits = np.unpackbits(prints, axis=1)
+                for t, own in enumerate(taken):
+                    values = np.packbits(bits.take(own, axis=1), axis=1).view(">u8")[:, 0].astype(np.uint64)
+                    shard = (values >> np.uint64(64 - prefix)).astype(np.int32) if prefix else np.zeros(len(batch), np.int32)
+                    columns = [batch.column(0), pa.array(np.full(len(batch), t, np.int32)), pa.array(shard), pa.array(values.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["word_key", "trie", "shard", "value"])
+
+    def walk(table: pa.Table) -> pa.Table:
+        values, at = np.unique(table.column("value").to_numpy().view(np.uint64), return_inverse=True)
+        keys, own = table.column("word_key").to_numpy(), trie_join(values, lead, NEAR_RADIUS, budgets=NEAR_BUDGETS)[at]
+        size = np.bincount(own, minlength=len(values))
+        least = np.full(len(values), np.iinfo(np.int64).max)
+        np.minimum.at(least, own, keys)
+        several = size[own] > 1
+        root = values[own[several]].view(np.int64)
+        trie = np.full(len(root), table.column("trie")[0].as_py(), np.int32)
+        return pa.table({"word_key": keys[several], "trie": trie, "root": root, "centre": least[own[several]]})
+
+    dealt = each.select("word_key", "print").mapInArrow(tidy(deal), "word_key long, trie int, shard int, value long")
+    walked = dealt.groupBy("trie", "shard").applyInArrow(walk, "word_key long, trie int, root long, centre long")
+    short = each.select("word_key", F.explode("short_keys").alias("bucket"))
+    several = short.groupBy("bucket").agg(F.min("word_key").alias("centre"), F.max("word_key").alias("last")).where("centre < last")
+    found = walked.select("word_key", F.xxhash64("trie", "root").alias("bucket"), "centre")
+    return found.unionByName(short.join(several.select("bucket", "centre"), "bucket").select("word_key", "bucket", "centre"))
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows and columns of one document of each class: the one with the smallest id.
 
-    Classes are those of ``minhash``: links are five-word shingle sets of Jaccard
-    similarity 0.8 or more. Rows that share both id and text are one document, of
+    Links are five-word shingle sets of Jaccard similarity 0.8 or more: candidates of
+    the tries, verified by ``minhash``. Rows that share both id and text are one document, of
     which one row stays; of texts that share an id and a class, that with the smallest hash.
     """
     text_key = F.xxhash64(F.col(text_col).cast("string"))
-    made = through_table(minhash.sketches(docs, id_col, text_col), "minhash")
-    rooted = made.join(minhash.class_ids(docs, made, id_col, text_col), "word_key", "left")
+    made = through_table(wide_prints(docs, id_col, text_col), "wide-prints")
+    shared = through_table(candidates(made), "buckets")
+    rooted = made.join(minhash.class_ids(docs, made, shared, id_col, text_col), "word_key", "left")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("kept")
     kept = rooted.groupBy(F.coalesce("root", "word_key")).agg(first).select("kept.doc_id", "kept.text_key").distinct()
     own_id, own_key = free_name("own_id", docs, kept), free_name("own_key", docs, kept)
