@@ -4,11 +4,13 @@ Candidates are buckets of texts that ``simhash`` finds in its tries (MinHash ban
 once; the module keeps its name). Every link is verified on the whole sets, and
 links make classes.
 
-Each bucket's members are first held against its smallest one, as a table of
-pairs. Of buckets whose members are then still in several classes, and are more
-than two, one task has all the sets: it counts what each member outside the
-largest class shares with the others, and gives out only links that join classes.
-So a large group costs rows as its size, not its square. Nothing is sampled or capped.
+Each text is first held against one other, the nearest of its buckets' centres, as a
+table of pairs. All buckets that hang together make a crowd. Of crowds that are then
+still several classes, and more than two texts, each text meets every other of another
+class once, however many buckets they share: a crowd is dealt into blocks, and for each
+pair of blocks one task has their sets, counts what they share, and gives out only links
+that join classes. Blocks are of bounded size, most crowds are one, and texts of the
+largest class are not held against each other. Nothing is sampled or capped.
 
 Texts with the same words in the same order are one before that. Texts without
 words are one class and near to nothing else.
@@ -32,6 +34,9 @@ SHINGLE_WORDS = 5
 SEED = 42
 #: Similarity of 4 in 5 or more, in whole numbers.
 NEAR = (4, 5)
+#: Shingles of a block, and its shingles times its texts; bound a task's memory and time, change no result.
+BLOCK_SHINGLES = 1 << 19
+BLOCK_WORK = 1 << 26
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -94,38 +99,59 @@ def links_within(keys: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) ->
     begins = np.r_[0, ends[:-1]]
     at = np.r_[0, np.cumsum(sizes)]
     of = np.unique(roots, return_inverse=True)[1]
-    out, largest = [], np.bincount(of).argmax()
-    for i in np.flatnonzero(of != largest).tolist():
+    members = np.bincount(of)
+    # Texts of the largest class need no look: those outside find them. So it stays the one once a text has been passed over.
+    out, largest, passed = [], members.argmax(), False
+    for i in range(n):
+        if of[i] == largest and (passed or members[largest] > 1):
+            passed = True
+            continue
         mine = number[at[i] : at[i + 1]]
         counts = ends[mine] - begins[mine]
         shared = np.bincount(owner[np.repeat(begins[mine], counts) + ranges(counts)], minlength=n)
         for j in np.flatnonzero(shared * (few + all_) >= (sizes + sizes[i]) * few).tolist():
             if of[j] != of[i]:
                 out.append((int(keys[i]), int(keys[j])))
-                of[of == of[j]] = of[i]
+                stays, goes = (of[j], of[i]) if of[j] == largest else (of[i], of[j])
+                of[of == goes] = stays
+                members[stays] += members[goes]
+        if not passed and members[of[i]] > members[largest]:
+            largest = of[i]
     return out
 
 
 def _within(table: pa.Table) -> pa.Table:
-    sets = [np.array(s, np.int64) for s in table.column("shingles").to_pylist()]
-    found = links_within(table.column("word_key").to_numpy(), table.column("root").to_numpy(), sets)
+    table = table.combine_chunks()
+    sets = table.column("shingles").chunk(0) if table.num_rows else pa.array([], pa.list_(pa.int64()))
+    whole, at = sets.flatten().to_numpy(), np.cumsum(np.r_[0, sets.value_lengths().to_numpy()])
+    found = links_within(table.column("word_key").to_numpy(), table.column("root").to_numpy(), [whole[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
+def _block_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(crowd, x, y, word_key, root): the members of crowds of several classes, in each pair of blocks with their own."""
+    sized = members.join(sets.select("word_key", F.size("shingles").alias("size")), "word_key")
+    apart = sized.groupBy("crowd").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+    # Of two members the pair is known.
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_SHINGLES, F.sqrt(F.col("size") * F.col("n") / BLOCK_WORK)))
+    apart = apart.where("n > 2 AND low < high").select("crowd", blocks.alias("blocks"))
+    dealt = members.join(apart, "crowd").withColumn("own", F.pmod(F.xxhash64("word_key"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return dealt.where("blocks = 1 OR own <> other").select("crowd", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "word_key", "root")
+
+
 def class_ids(docs: DataFrame, made: DataFrame, shared: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word_key, root) of the texts that are near to another.
 
     ``made`` holds the (doc_id, text_key, word_key) of ``docs``, ``shared`` the candidates: a
-    (word_key, bucket, centre) for each member of a bucket, of which the centre is the smallest.
+    (word_key, bucket, centre, bits) for each member of a bucket, ``bits`` less for a likelier centre.
     """
     sets = through_table(_sets(docs, made, shared.select("word_key").distinct(), id_col, text_col), "shingles")
-    stars = shared.where("word_key <> centre").select(F.col("word_key").alias("a"), F.col("centre").alias("b")).distinct()
-    links = through_table(_verified(stars, sets), "near")
-    rooted = shared.join(components(links).withColumnRenamed("node", "word_key"), "word_key", "left")
-    members = through_table(rooted.select("bucket", "word_key", F.coalesce("root", "word_key").alias("root")), "members")
-    # Of two members the pair is known; the same members in several buckets are looked at once.
-    crowd = F.sum(F.xxhash64("word_key").cast("decimal(38,0)")).alias("crowd")
-    apart = members.groupBy("bucket").agg(F.count("*").alias("n"), crowd, F.min("root").alias("low"), F.max("root").alias("high"))
-    apart = apart.where("n > 2 AND low < high").groupBy("n", "crowd").agg(F.min("bucket").alias("bucket")).select("bucket")
-    rest = members.join(apart, "bucket").join(sets, "word_key").groupBy("bucket").applyInArrow(_within, "a long, b long")
+    stars = shared.where("word_key <> centre").select(F.col("word_key").alias("a"), F.col("centre").alias("b"), "bits")
+    nearest = stars.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
+    links = through_table(_verified(nearest, sets), "near")
+    crowds = components(stars.select("a", "b")).select(F.col("node").alias("word_key"), F.col("root").alias("crowd"))
+    rooted = crowds.join(components(links).withColumnRenamed("node", "word_key"), "word_key", "left")
+    members = through_table(rooted.select("crowd", "word_key", F.coalesce("root", "word_key").alias("root")), "members")
+    rest = _block_pairs(members, sets).join(sets, "word_key").groupBy("crowd", "x", "y").applyInArrow(_within, "a long, b long")
     return components(links.unionByName(rest)).select(F.col("node").alias("word_key"), "root")

@@ -24,7 +24,8 @@ five-word shingles of Jaccard similarity 0.8 differ in about 15 of 100 bits, whi
 four blocks of 64 bits cannot tell. Its fingerprints have ``WIDE`` bits, and each of
 many tries takes 64 of them in an order of its own: there the join starts below the
 leading ``lead`` bits and walks down with the budget ``NEAR_RADIUS``. Classes of a trie
-are candidates; ``minhash`` verifies them on the whole sets. The leading bits grow
+are parted into those of all ``WIDE`` bits, as 64 bits chain texts that are not alike;
+these are candidates, and ``minhash`` verifies them on the whole sets. The leading bits grow
 with the number of texts, so a node holds about ``NODE_SIZE`` however many there are,
 and the number of tries with the leading bits, so the odds of a miss stay (``tries_for``).
 """
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tarnish.functions.storage import through_table
 from tarnish.llm import minhash
-from tarnish.llm.common import free_name, id_and_text, tidy
+from tarnish.llm.common import free_name, id_and_text, ranges, tidy
 from tarnish.llm.links import components
 
 SHINGLE_WORDS = 3
@@ -62,6 +63,14 @@ NEAR_BUDGETS = (4, NEAR_RADIUS)
 NEAR_SHARE = 0.157
 #: The odds of a miss at that share, if the tries' bits were independent.
 MISS = 1e-6
+#: Bits of all ``WIDE`` that candidates may differ in: ``NEAR_SHARE`` and 4.8 deviations, beyond which about as few lie.
+WIDE_RADIUS = 120
+#: Rows of a class of a trie that are compared with each other; larger ones are candidates as they are.
+CLASS_ROWS = 4096
+#: Rows of a class below which classes are compared together.
+FEW_ROWS = 64
+#: Texts for each task that compares prints.
+SHARD_TEXTS = 5000
 #: Texts that agree in the leading bits, on average and at most.
 NODE_SIZE = 64
 LEAST_LEAD = 12
@@ -305,8 +314,43 @@ def orders(tries: int) -> np.ndarray:
     return np.array([dice.permutation(WIDE)[:64] for _ in range(tries)])
 
 
+def print_classes(buckets: np.ndarray, prints: np.ndarray, radius: int = WIDE_RADIUS) -> np.ndarray:
+    """The first index of the class of each row: classes lie within a run of ``buckets``, of prints within ``radius``.
+
+    ``prints`` has a row of 64-bit words for each row. Runs of over ``CLASS_ROWS`` rows are one class.
+    """
+    n = len(buckets)
+    classes = _Classes(n)
+    begin = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if n else np.zeros(0, np.int64)
+    size = np.diff(np.r_[begin, n])
+
+    def compare(at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Classes of the rows ``at``, each with the rows behind it and before its run's end."""
+        found = _Classes(len(at))
+        left = np.arange(len(at))
+        for step in range(1, int((ends - left).max(initial=1))):
+            left = left[left + step < ends[left]]
+            apart = left[found.of[left] != found.of[left + step]]
+            near = apart[np.bitwise_count(prints[at[apart]] ^ prints[at[apart + step]]).sum(axis=1) <= radius]
+            found.join(near, near + step)
+        return found.of
+
+    few = size <= FEW_ROWS
+    if few.any():
+        counts = size[few]
+        at = np.repeat(begin[few], counts) + ranges(counts)
+        classes.of[at] = at[compare(at, np.repeat(np.cumsum(counts), counts))]
+    for first, rows in zip(begin[~few].tolist(), size[~few].tolist(), strict=True):
+        own = np.arange(first, first + rows)
+        classes.of[own] = first + compare(own, np.full(rows, rows)) if rows <= CLASS_ROWS else first
+    return classes.of
+
+
 def candidates(made: DataFrame, trie_size: int = TRIE_SIZE) -> DataFrame:
-    """(word_key, bucket, centre) of the texts that share a class of a trie, or a short key, with another; the centre is the smallest of the bucket."""
+    """(word_key, bucket, centre, bits) of the texts that share a class of a trie and of prints, or a short key, with another.
+
+    The centre is one text of the bucket, from which the text differs in ``bits`` bits.
+    """
     each = made.where("print IS NOT NULL").select("word_key", "print", "short_keys").dropDuplicates(["word_key"])
     n = each.count()
     lead = min(32, max(LEAST_LEAD, math.ceil(math.log2(max(1, n) / NODE_SIZE))))
@@ -330,20 +374,31 @@ def candidates(made: DataFrame, trie_size: int = TRIE_SIZE) -> DataFrame:
     def walk(table: pa.Table) -> pa.Table:
         values, at = np.unique(table.column("value").to_numpy().view(np.uint64), return_inverse=True)
         keys, own = table.column("word_key").to_numpy(), trie_join(values, lead, NEAR_RADIUS, budgets=NEAR_BUDGETS)[at]
-        size = np.bincount(own, minlength=len(values))
-        least = np.full(len(values), np.iinfo(np.int64).max)
-        np.minimum.at(least, own, keys)
-        several = size[own] > 1
+        several = np.bincount(own, minlength=len(values))[own] > 1
         root = values[own[several]].view(np.int64)
         trie = np.full(len(root), table.column("trie")[0].as_py(), np.int32)
-        return pa.table({"word_key": keys[several], "trie": trie, "root": root, "centre": least[own[several]]})
+        return pa.table({"word_key": keys[several], "trie": trie, "root": root})
+
+    def part(table: pa.Table) -> pa.Table:
+        buckets, keys = table.column("bucket").to_numpy(), table.column("word_key").to_numpy()
+        order = np.lexsort((keys, buckets))
+        buckets, keys = buckets[order], keys[order]
+        prints = np.frombuffer(b"".join(table.column("print").to_pylist()), np.uint64).reshape(len(keys), WIDE // 64)[order]
+        own = print_classes(buckets, prints)
+        several = np.flatnonzero(np.bincount(own, minlength=len(own))[own] > 1)
+        bits = np.bitwise_count(prints[several] ^ prints[own[several]]).sum(axis=1).astype(np.int32)
+        return pa.table({"word_key": keys[several], "bucket": buckets[several], "centre": keys[own[several]], "bits": bits})
 
     dealt = each.select("word_key", "print").mapInArrow(tidy(deal), "word_key long, trie int, shard int, value long")
-    walked = dealt.groupBy("trie", "shard").applyInArrow(walk, "word_key long, trie int, root long, centre long")
-    short = each.select("word_key", F.explode("short_keys").alias("bucket"))
-    several = short.groupBy("bucket").agg(F.min("word_key").alias("centre"), F.max("word_key").alias("last")).where("centre < last")
-    found = walked.select("word_key", F.xxhash64("trie", "root").alias("bucket"), "centre")
-    return found.unionByName(short.join(several.select("bucket", "centre"), "bucket").select("word_key", "bucket", "centre"))
+    walked = dealt.groupBy("trie", "shard").applyInArrow(walk, "word_key long, trie int, root long")
+    walked = walked.select("word_key", F.xxhash64("trie", "root").alias("bucket")).join(each.select("word_key", "print"), "word_key")
+    shard = F.pmod(F.xxhash64("bucket"), F.lit(math.ceil(max(1, n) / SHARD_TEXTS)))
+    parted = walked.groupBy(shard).applyInArrow(part, "word_key long, bucket long, centre long, bits int")
+    found = parted.select("word_key", F.xxhash64("bucket", "centre").alias("bucket"), "centre", "bits")
+    # Two sets of five that share four are not near, so a key counts if a set of four has it.
+    short = each.select("word_key", F.explode("short_keys").alias("bucket"), F.size("short_keys").alias("keys"))
+    fours = short.groupBy("bucket").agg(F.min(F.when(F.col("keys") == 1, F.col("word_key"))).alias("centre"), F.count("*").alias("n")).where("n > 1 AND centre IS NOT NULL")
+    return found.unionByName(short.join(fours.select("bucket", "centre"), "bucket").select("word_key", "bucket", "centre", F.lit(0).alias("bits")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
