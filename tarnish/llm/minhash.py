@@ -148,9 +148,11 @@ def class_ids(docs: DataFrame, made: DataFrame, shared: DataFrame, id_col: str =
     """
     sets = through_table(_sets(docs, made, shared.select("word_key").distinct(), id_col, text_col), "shingles")
     stars = shared.where("word_key <> centre").select(F.col("word_key").alias("a"), F.col("centre").alias("b"), "bits")
-    nearest = stars.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
-    links = through_table(_verified(nearest, sets), "near")
-    crowds = components(stars.select("a", "b")).select(F.col("node").alias("word_key"), F.col("root").alias("crowd"))
+    # Centres of one text hang together, so it links all to the smallest: most of these links are the same for many texts.
+    each = through_table(stars.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"), F.collect_set("b").alias("centres")), "centres")
+    links = through_table(_verified(each.select("a", "b"), sets), "near")
+    hang = each.select(F.explode(F.concat(F.array("a"), "centres")).alias("a"), F.array_min("centres").alias("b"))
+    crowds = components(hang).select(F.col("node").alias("word_key"), F.col("root").alias("crowd"))
     rooted = crowds.join(components(links).withColumnRenamed("node", "word_key"), "word_key", "left")
     members = through_table(rooted.select("crowd", "word_key", F.coalesce("root", "word_key").alias("root")), "members")
     rest = _block_pairs(members, sets).join(sets, "word_key").groupBy("crowd", "x", "y").applyInArrow(_within, "a long, b long")
