@@ -5,7 +5,8 @@ blank before its word. So the ids of a text are the ids of its words (each with
 its blank) in a row, and those of a plain word are the ids of its letters and of
 the punctuation behind them. A task encodes a core or tail it has met before by
 looking it up; Arrow parts the texts and finds the distinct words of a call. Only white space beside a blank breaks the rule; such texts are
-encoded whole.
+encoded whole. A tokenizer to which all white space is one blank, or a letter its lower case, has fewer distinct words: lines are parted
+as words are, and cores are taken in lower case.
 
 A text that spells a special token gets the id that the library gives it, unless
 ``special_as_text`` is set: then it is ordinary text.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+from codecs import charmap_decode
 from collections.abc import Sequence
 from itertools import chain
 
@@ -26,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tarnish.llm.common import ranges
+from tarnish.llm.common import ranges, utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -42,6 +44,10 @@ _PLAIN = rf"\A[{_LETTER_CLASS}]+\z"
 _TAIL = ".,!?;:#*$%&|<>@()\"-"
 _LONG_TAIL = 8
 
+_WHITE = "\t\n\v\f\r"
+_BLANKED = np.arange(256, dtype=np.uint8)
+_BLANKED[[ord(c) for c in _WHITE]] = ord(" ")
+
 _CORE, _BEHIND, _WORD, _FIRST = range(4)
 MARKS = _BEHIND
 
@@ -96,10 +102,22 @@ def crosses_to_marks(piece: str) -> bool:
     return re.search(f"[{_LETTER_CLASS}][{re.escape(_TAIL)}]", piece) is not None
 
 
-def code_words(units: _Units, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.DictionaryArray]:
+def strings(column: pa.Array) -> list[str]:
+    """As ``to_pylist`` gives them, in a fraction of its time; no nulls."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def blanked(column: pa.Array) -> pa.Array:
+    """The texts with a blank for each other ASCII white space."""
+    data, at = utf8(column)
+    return pa.Array.from_buffers(pa.large_string(), len(column), [None, pa.py_buffer(at), pa.py_buffer(_BLANKED[data])])
+
+
+def code_words(units: _Units, column: pa.Array, lowers: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.DictionaryArray]:
     """Two units for each blank-parted word of all texts: letters and the marks behind them, or the whole word and none.
 
     Also where each text's words end, their numbers, and the words themselves, plain and by their distinct ones.
+    ``lowers``: letters are taken in lower case.
     """
     parted = pc.split_pattern(column, " ")
     sizes = pc.list_value_length(parted).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -110,9 +128,10 @@ def code_words(units: _Units, column: pa.Array) -> tuple[np.ndarray, np.ndarray,
     plain = pc.and_(pc.match_substring_regex(cores, _PLAIN), pc.less_equal(pc.binary_length(tails), _LONG_TAIL))
     is_plain = plain.to_numpy(zero_copy_only=False)
     front, behind = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-    for kind, strings, into, rows in ((_CORE, cores, front, is_plain), (_BEHIND, tails, behind, is_plain), (_WORD, words, front, ~is_plain)):
-        some = strings.filter(pa.array(rows)).dictionary_encode()
-        keys = some.dictionary.to_pylist()
+    for kind, column, into, rows in ((_CORE, cores, front, is_plain), (_BEHIND, tails, behind, is_plain), (_WORD, words, front, ~is_plain)):
+        some = column.filter(pa.array(rows))
+        some = (pc.utf8_lower(some) if lowers and kind == _CORE else some).dictionary_encode()
+        keys = strings(some.dictionary)
         found = units.find(kind, keys)
         if kind == _BEHIND:
             found[[not k for k in keys]] = 0
@@ -136,19 +155,27 @@ class WordEncoder:
         self.lowers = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         # How the byte-level alphabet spells the blank and each letter, as the tokenizer itself says.
         spelled = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _LETTERS}
+        # Whether it makes no difference which white space parts letters and marks.
+        like = [self.tokenizer.encode(f"a{c}b.{c}{c}c,{c}", add_special_tokens=False).ids for c in f" {_WHITE}"]
+        self.blanks = not self.keeps_blanks and all(x == like[0] for x in like)
         self.blank = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0] if self.keeps_blanks else ""
         self.spelling = str.maketrans({c: s for c, s in spelled.items() if c != s})
+        # Where each byte has a sign, a table of them spells faster; U+FFFE stands for none.
+        signs = {b: x for c, s in spelled.items() for b, x in zip(c.encode(), s, strict=False)}
+        bytewise = all("".join(signs[b] for b in c.encode() if b in signs) == s for c, s in spelled.items())
+        self.signs = "".join(signs.get(b, "\ufffe") for b in range(256)) if bytewise else None
         self.cache_units = cache_units
         self.units, self.older = _Units(), _Units()
 
+    def _spell(self, letters: str) -> str:
+        return charmap_decode(letters.encode(), "strict", self.signs)[0] if self.signs else letters.translate(self.spelling)
+
     def _encode_new(self, kind: int, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if kind == _CORE:
             tokenize, blank, out = self.model.tokenize, self.blank, []
             for x in keys:
-                if self.lowers:
-                    x = x.lower()
                 # Letters alone are one piece to the model.
-                out.append([t.id for t in tokenize(blank + (x if x.isascii() else x.translate(self.spelling)))])
+                out.append([t.id for t in tokenize(blank + (x if x.isascii() else self._spell(x)))])
         else:
             blank = " " if kind == _WORD and self.keeps_blanks else ""
             out = [e.ids for e in self.tokenizer.encode_batch_fast([blank + x for x in keys], add_special_tokens=False)]
@@ -196,9 +223,9 @@ class WordEncoder:
             self.older, self.units = self.units, _Units()
         units = self.units
         column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string()).fill_null("")
-        both, ends, sizes, all_words, _ = code_words(units, column)
+        both, ends, sizes, all_words, _ = code_words(units, blanked(column) if self.blanks else column, self.lowers)
         begin = ends - sizes
-        both[2 * begin] = units.find(_FIRST, all_words.take(pa.array(begin)).to_pylist())
+        both[2 * begin] = units.find(_FIRST, strings(all_words.take(pa.array(begin))))
         both[2 * begin + 1] = 0
         self._learn()
         ids, counts = units.ids(both)
