@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnish.llm.common import chunks, id_and_text, remainder
+from tarnish.llm.common import chunks, id_and_text, ranges, remainder
 
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -34,6 +34,8 @@ CACHE_WORDS = 500_000
 #: Letters that are segmented together; a longer run of letters is taken in parts.
 MAX_WORD = 64
 
+#: What often stands behind a word.
+_MARKS = ".,!?;:"
 _LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -51,6 +53,9 @@ class _Numbered(dict):
 
 
 def words_of(token: str) -> list[str]:
+    core = token.rstrip(_MARKS)
+    if core.isascii() and core.isalpha() and len(core) <= MAX_WORD:
+        return [core.lower()]
     return [w[i : i + MAX_WORD] for w in _LETTERS.findall(token.lower()) for i in range(0, len(w), MAX_WORD)]
 
 
@@ -67,6 +72,33 @@ class Pieces:
         self.longest = max(map(len, self.pieces), default=1)
         #: The piece of a letter that the vocabulary lacks.
         self.other = len(self.pieces)
+        self._build_trie()
+
+    def _build_trie(self) -> None:
+        """Nodes are prefixes of pieces; node 0 is none, 1 the empty one. An edge is (node, sign), sorted, with where it leads."""
+        signs = sorted(set("".join(self.pieces)))
+        self.sign = np.zeros(ord(signs[-1]) + 2 if signs else 1, np.int64)
+        self.sign[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.width = len(signs) + 1
+        node, edges, held = {"": 1}, {}, {}
+        for number, piece in enumerate(self.pieces):
+            for end in range(1, len(piece) + 1):
+                if piece[:end] not in node:
+                    node[piece[:end]] = len(node) + 1
+                    edges[node[piece[: end - 1]] * self.width + int(self.sign[ord(piece[end - 1])])] = node[piece[:end]]
+            held[node[piece]] = number
+        self.edge = np.array(sorted(edges), np.int64)
+        self.leads = np.array([edges[k] for k in self.edge.tolist()], np.int64)
+        self.piece_at = np.full(len(node) + 1, -1, np.int32)
+        self.piece_at[list(held)] = list(held.values())
+
+    def _step(self, node: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """The node one sign further, or 0."""
+        if not len(self.edge):
+            return np.zeros(len(node), np.int64)
+        key = node * self.width + sign
+        at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+        return np.where(self.edge[at] == key, self.leads[at], 0)
 
     def lattice(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """sizes, and for each word, end and length the number of the piece there, or -1.
@@ -76,17 +108,26 @@ class Pieces:
         sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
         most = int(sizes.max(initial=1))
         grid = np.full((most + 1, min(self.longest, most) + 1, len(words)), -1, np.int32)
-        get, other, longest = self.number.get, self.other, self.longest
-        for k, w in enumerate(words):
-            w = "▁" + w
-            n = len(w)
-            for end in range(1, n + 1):
-                for begin in range(max(0, end - longest), end):
-                    p = get(w[begin:end], -1)
-                    if p >= 0:
-                        grid[end, end - begin, k] = p
-                if grid[end, 1, k] < 0:
-                    grid[end, 1, k] = other
+        codes = np.frombuffer("".join("▁" + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        # The last entry of the table is that of no sign.
+        sign = self.sign[np.minimum(codes, len(self.sign) - 1)]
+        word, place = np.repeat(np.arange(len(words)), sizes), ranges(sizes)
+        left = np.repeat(sizes, sizes) - place
+        # All places at once walk the pieces from there, a sign at a time, until no piece goes on.
+        begin, node, length = np.arange(len(codes)), np.ones(len(codes), np.int64), 0
+        while len(begin):
+            node = self._step(node, sign[begin + length])
+            length += 1
+            on = np.flatnonzero(node)
+            begin, node = begin[on], node[on]
+            piece = self.piece_at[node]
+            has = np.flatnonzero(piece >= 0)
+            at = begin[has]
+            grid[place[at] + length, length, word[at]] = piece[has]
+            on = np.flatnonzero(left[begin] > length)
+            begin, node = begin[on], node[on]
+        lone = np.flatnonzero(grid[place + 1, 1, word] < 0)
+        grid[place[lone] + 1, 1, word[lone]] = self.other
         return sizes, grid
 
 
@@ -128,11 +169,12 @@ def _by_length(words: Sequence[str], most: int = 4096) -> Iterator[np.ndarray]:
     """Parts of words of like length."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
     begin = 0
-    for i in range(1, len(order) + 1):
-        if i == len(order) or i - begin >= most or sizes[order[i]] > 1.25 * sizes[order[begin]] + 2:
-            yield order[begin:i]
-            begin = i
+    while begin < len(order):
+        end = min(begin + most, int(np.searchsorted(sizes, 1.25 * sizes[begin] + 2, side="right")))
+        yield order[begin:end]
+        begin = end
 
 
 class LanguageModel:
