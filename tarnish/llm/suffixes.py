@@ -44,14 +44,16 @@ def suffix_array(texts: Texts) -> np.ndarray:
     is_leftmost = small & np.r_[False, ~small[:-1]]
     # An empty text's terminator has no larger suffix before it.
     is_leftmost[texts.ends] = True
-    leftmost = np.flatnonzero(is_leftmost)
-    order = _induce(symbols, small, leftmost, texts.ends)
+    # Positions take half the memory where they can.
+    position = np.int32 if len(symbols) < 1 << 31 else np.int64
+    leftmost, ends = np.flatnonzero(is_leftmost).astype(position), texts.ends.astype(position)
+    order = _induce(symbols, small, leftmost, ends)
     by_substring = order[is_leftmost[order]]
     names = _names(symbols, leftmost, by_substring)
     ranks = _ranks(names)
-    sorted_leftmost = np.empty(len(leftmost), np.int64)
+    sorted_leftmost = np.empty(len(leftmost), position)
     sorted_leftmost[ranks] = leftmost
-    return _induce(symbols, small, sorted_leftmost, texts.ends)
+    return _induce(symbols, small, sorted_leftmost, ends)
 
 
 def _smaller(symbols: np.ndarray) -> np.ndarray:
@@ -82,13 +84,14 @@ def _spread(positions: np.ndarray, symbols: np.ndarray, into: list[list[np.ndarr
 _NONE = np.zeros(0, np.int64)
 
 
-def _join(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else _NONE
+def _join(parts: list[np.ndarray], none: np.ndarray) -> np.ndarray:
+    return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else none
 
 
 def _induce(symbols: np.ndarray, small: np.ndarray, seeds: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All suffixes in order, from the order of the leftmost ones within their buckets."""
     used = np.flatnonzero(np.bincount(symbols, minlength=256)).tolist()
+    none = seeds[:0]
     seeded: list[list[np.ndarray]] = [[] for _ in range(256)]
     _spread(seeds, symbols, seeded)
     seeded[0] = [ends]
@@ -97,22 +100,23 @@ def _induce(symbols: np.ndarray, small: np.ndarray, seeds: np.ndarray, ends: np.
 
     def before(wave: np.ndarray, wanted: bool) -> np.ndarray:
         wave = wave[wave > 0] - 1
-        return wave[small[wave] == wanted]
+        is_small = small[wave]
+        return wave[is_small if wanted else ~is_small]
 
     def through(c: int, wanted: bool) -> np.ndarray:
         """The suffixes of a bucket in the order they are met, and what they bring into other buckets."""
-        waves, wave = [], _join(coming[c])
+        waves, wave = [], _join(coming[c], none)
         while len(wave):
             waves.append(wave)
             brought = before(wave, wanted)
             here = symbols[brought] == c
             _spread(brought[~here], symbols, coming)
             wave = brought[here]
-        return _join(waves)
+        return _join(waves, none)
 
     for c in used:
-        larger[c] = through(c, False) if c else _NONE
-        _spread(before(_join(seeded[c]), False), symbols, coming)
+        larger[c] = through(c, False) if c else none
+        _spread(before(_join(seeded[c], none), False), symbols, coming)
     coming = [[] for _ in range(256)]
     out: list[np.ndarray] = []
     for c in reversed(used):
@@ -124,7 +128,7 @@ def _induce(symbols: np.ndarray, small: np.ndarray, seeds: np.ndarray, ends: np.
 
 def _names(symbols: np.ndarray, leftmost: np.ndarray, by_substring: np.ndarray) -> np.ndarray:
     """A number for each leftmost position, in order of its substring up to the next one; equal for equal substrings."""
-    following = np.empty(len(symbols), np.int64)
+    following = np.empty(len(symbols), leftmost.dtype)
     following[leftmost] = np.r_[leftmost[1:], len(symbols) - 1]
     a, b = by_substring[:-1], by_substring[1:]
     size = following[b] - b
@@ -178,20 +182,19 @@ def permuted_common_prefixes(texts: Texts, order: np.ndarray) -> np.ndarray:
     """
     n = len(order)
     symbols, left = texts.symbols, texts.left
-    phi = np.empty(n, np.int64)
+    phi = np.empty(n, order.dtype)
     if n:
         phi[order[0]] = -1
         phi[order[1:]] = order[:-1]
-    own = np.arange(n)
+    own = np.arange(n, dtype=order.dtype)
     counted = (phi <= 0) | (own == 0)
-    before_own, before_phi = symbols[np.maximum(own - 1, 0)], symbols[np.maximum(phi - 1, 0)]
+    before_own, before_phi = np.r_[symbols[:1], symbols[:-1]], symbols[np.maximum(phi - 1, 0)]
     counted |= (before_own != before_phi) | (before_own == 0)
     i = np.flatnonzero(counted)
     j = phi[i]
-    padded = np.r_[symbols, np.zeros(8, np.uint8)].astype(np.uint64)
-    words = np.zeros(n, np.uint64)
-    for b in range(8):
-        words |= padded[b : n + b] << np.uint64(8 * b)
+    # The eight symbols from each position on as a number, read where they lie.
+    padded = np.r_[symbols, np.zeros(8, np.uint8)]
+    words = np.ndarray(n, "<u8", padded, strides=(1,))
     prefix = np.zeros(n, np.int64)
     most = np.where(j < 0, 0, np.minimum(left[i], left[np.maximum(j, 0)]))
     shared = np.zeros(len(i), np.int64)
